@@ -82,7 +82,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
     spread = ids.repartitionByRange(parts, "doc_id").select("doc_id", F.spark_partition_id().alias("part"))
-    heads = sorted(r[0] for r in spread.groupBy("part").agg(F.min("doc_id")).collect())
+    heads = sorted(r[1] for r in spread.groupBy("part").agg(F.min("doc_id")).collect())
     bounds = np.array(heads, np.int64)  # empty only if there are no rows
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

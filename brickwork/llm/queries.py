@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from brickwork.llm import fingerprint, packing
+from brickwork.llm import fingerprint, minhash, mixing, packing, quality, secrets
 
 QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op5_document_fingerprints": fingerprint.query,
+    "op7_secret_scans": secrets.query,
+    "op8_minhash_near_dedup": minhash.query,
+    "op9_quality_classifier": quality.query,
+    "op10_source_mixing": mixing.query,
 }
 ORACLES: dict[str, str] = {}

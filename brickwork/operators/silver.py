@@ -53,7 +53,7 @@ def rejection_reason(limits: QualityLimits | None = None) -> Column:
         .when(area > q.area_high, "area_suspiciously_large")
         .when(rooms < 0, "negative_rooms")
         .when(rooms > q.rooms_high, "rooms_suspiciously_high")
-        .when(~(lat.between(*q.lat) & lng.between(*q.lng)), "coordinates_outside_egypt")
+        .when(lat.isNotNull() & lng.isNotNull() & ~(lat.between(*q.lat) & lng.between(*q.lng)), "coordinates_outside_egypt")
     )
 
 

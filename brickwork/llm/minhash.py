@@ -2,10 +2,11 @@
 
 Texts with equal shingle sets form a class, and only a class's representative goes on. Minima of
 `bands * rows` universal hash functions are cut into bands; documents that share a band's minima are
-a bucket. Links are sought in rounds. In the first, each bucket's least document is compared with the
-others. Where a bucket still holds documents of several components, further ones lead, four to eight
-times as many a round, and are compared with those of other components, until in each bucket all
-pairs across components have been compared. No pairs inside a component are made, and none is left
+a bucket. Links are sought in rounds. In the first, that document of each bucket leads, and is compared with
+the others, which shares most buckets with others; an original does so more than its copies. Where a
+bucket still holds documents of several components, further ones lead, more each round, and are compared with those of other components, until in each bucket all
+pairs across components have been compared or are bounded below the similarity by the shingles that
+either shares with no other document. No pairs inside a component are made, and none is left
 out: a bucket of any size is done so. Candidates pass if their signatures agree in `agree` of the
 places, then if the sets of their whole texts reach the similarity. Components grow by alternating
 large-star and small-star.
@@ -38,7 +39,7 @@ class MinHashConfig:
     bands: int = 24
     rows: int = 5
     agree: float = 0.65
-    leaders: tuple[int, ...] = (1, 8, 64, 512)
+    leaders: tuple[int, ...] = (1, 1, 2, 8, 64, 512)
     seed: int = 5
 
 
@@ -168,31 +169,39 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     cfg = cfg or MinHashConfig()
     made = C.written(signatures(docs, cfg), "signatures")
     full = made.where("n_shingles > 0")
-    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "representatives")
+    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size")), "representatives")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader")).where("n > 1")
-    members = C.written(keyed.join(shared.select("key", "leader"), "key"), "buckets")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bucketed = C.written(keyed.join(shared, "key"), "buckets")
+    # an original shares more with its copies than they with each other: it has most neighbours, and leads
+    near = bucketed.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("near"))
+    ranked = bucketed.join(near, "rep").select("key", "rep", "near")
+    members = C.written(ranked.join(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "key"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text"), "texts")
     sig = reps.select("rep", "sig")
-    # round 1: the least document of each bucket leads
-    pairs = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    # round 1: one document of each bucket leads
+    pairs = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
     links = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
     comp = components(links)
-    rest = members.where("rep <> leader").select("key", "rep")
+    rest = members.where("rep <> leader").select("key", "rep", "near")
     for k in _counts(cfg):
-        now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
-        marked = now.withColumn("h", F.xxhash64("rep", F.lit(k)))
-        mixed = marked.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).where("low < high").select("key", "n", "least")
-        active = C.checkpoint(marked.join(mixed, "key"))
+        now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
+        # anew each round: fewer documents are active, so that more shingles are one document's own
+        bound = _own(C.checkpoint(_mixed(now)), texts, reps, cfg)
+        # a document of which too much is its own can be linked with none
+        marked = now.join(bound, "rep").where(F.col("size") * 100 - F.col("own") * 100 >= F.col("size") * cfg.percent).withColumn("h", F.xxhash64("rep", F.lit(k)))
+        active = C.checkpoint(_mixed(marked))
         if active.isEmpty():
             break
         # about k of a bucket's documents lead, one at least, all if there are no more
         share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
-        lead = active.where((F.col("h") == F.col("least")) | (share * F.col("n") <= k)).select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"))
-        pairs = active.join(lead, "key").where("comp <> lead_comp").select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+        lead = active.where((F.col("rep") == F.col("top")) | (share * F.col("n") < k - 1)).select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("own").alias("lead_own"))
+        both = F.least(F.col("size") - F.col("own"), F.col("lead_size") - F.col("lead_own"))
+        possible = both * 100 >= (F.col("size") + F.col("lead_size") - both) * cfg.percent
+        pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & possible).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
         more = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
-        rest = C.checkpoint(active.select("key", "rep").join(lead.select("key", F.col("lead").alias("rep")), ["key", "rep"], "left_anti"))
+        rest = C.checkpoint(active.select("key", "rep", "near").join(lead.select("key", F.col("lead").alias("rep")), ["key", "rep"], "left_anti"))
         if not more.isEmpty():
             links = links.unionByName(more)
             comp = components(links)
@@ -202,6 +211,30 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     return joined.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with several components, with the bucket's size and its document of most neighbours."""
+    several = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.max_by("rep", F.struct("near", -F.col("rep"))).alias("top")).where("low < high").select("key", "n", "top")
+    return rows.join(several, "key")
+
+
+def _own(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """(rep, size, own): of the active documents the set's size, and how many of its shingles no other active one has.
+
+    An intersection is at most size - own, which bounds the similarity before any pair is made.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in C.slices(batches, "text"):
+            found = sets(b.column("text"), cfg.words)
+            n = [len(x) for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), n), pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["rep", "shingle"])
+
+    ids = active.select("rep").distinct()
+    rows = texts.join(ids, "rep").select("rep", "text").mapInArrow(run, "rep long, shingle long")
+    lone = rows.groupBy("shingle").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("c")).where("c = 1").groupBy(F.col("low").alias("rep")).agg(F.count(F.lit(1)).alias("own"))
+    return C.checkpoint(ids.join(reps.select("rep", "size"), "rep").join(lone, "rep", "left").select("rep", "size", F.coalesce("own", F.lit(0)).alias("own")))
+
+
 def _counts(cfg: MinHashConfig) -> Iterator[int]:
     yield from cfg.leaders[1:]
     k = cfg.leaders[-1]

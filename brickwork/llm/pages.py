@@ -180,7 +180,8 @@ def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
     content = 1 - F.col("same") / F.col("texts") / logs
     # entropy of the styles: log n - (sum of c log c) / n, on the scale of log pages
     style = (F.log("n") - F.col("alike") / F.col("n")) / logs
-    both = F.when(F.col("texts").isNull(), style).when(F.col("n").isNull(), content).otherwise(cfg.styles * style + (1 - cfg.styles) * content)
+    # a node without text of its own is as important as what its branches hold, so those are judged
+    both = F.when(F.col("texts").isNull(), F.lit(1.0)).when(F.col("n").isNull(), content).otherwise(cfg.styles * style + (1 - cfg.styles) * content)
     return node.where("m IS NULL").drop("m").join(size, "host").where(F.col("pages") >= cfg.pages).select("host", "path", both.alias("importance"), F.col("pages").alias("n"))
 
 

@@ -162,10 +162,14 @@ def _shown(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start.cast("string"), s.end.cast("string"))), ",")
 
 
+def _number(kind: int) -> Column:
+    return F.size(F.filter("__base", lambda s: s.kind == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+
 def scan(docs: DataFrame, cfg: SecretConfig | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every row."""
     found = _all(_found(docs.select("doc_id", "text")), cfg or SecretConfig())
-    counts = [F.size(F.filter("__base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    counts = [_number(k) for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(_shown("__base"), 256).alias("base_sha256"), _shown("__spans").alias("spans"))
 
 

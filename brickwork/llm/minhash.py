@@ -39,7 +39,7 @@ class MinHashConfig:
     bands: int = 24
     rows: int = 5
     agree: float = 0.65
-    leaders: tuple[int, ...] = (1, 1, 2, 8, 64, 512)
+    leaders: tuple[int, ...] = (1, 1, 8, 4096)
     seed: int = 5
 
 
@@ -196,10 +196,12 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
             break
         # about k of a bucket's documents lead, one at least, all if there are no more
         share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
-        lead = active.where((F.col("rep") == F.col("top")) | (share * F.col("n") < k - 1)).select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("own").alias("lead_own"))
+        active = active.withColumn("leads", (F.col("rep") == F.col("top")) | (share * F.col("n") < k - 1))
+        lead = active.where("leads").select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("own").alias("lead_own"))
         both = F.least(F.col("size") - F.col("own"), F.col("lead_size") - F.col("lead_own"))
         possible = both * 100 >= (F.col("size") + F.col("lead_size") - both) * cfg.percent
-        pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & possible).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+        once = ~F.col("leads") | (F.col("lead") < F.col("rep"))  # of two that lead, one asks
+        pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & once & possible).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
         more = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
         rest = C.checkpoint(active.select("key", "rep", "near").join(lead.select("key", F.col("lead").alias("rep")), ["key", "rep"], "left_anti"))
         if not more.isEmpty():

@@ -3,13 +3,17 @@
 Texts with equal shingle sets form a class, and only a class's representative goes on. Minima of
 `bands * rows` universal hash functions are cut into bands; documents that share a band's minima are
 a bucket. Links are sought in rounds. In the first, that document of each bucket leads, and is compared with
-the others, which shares most buckets with others; an original does so more than its copies. Where a
-bucket still holds documents of several components, further ones lead, more each round, and are compared with those of other components, until in each bucket all
-pairs across components have been compared or are bounded below the similarity by the shingles that
-either shares with no other document. No pairs inside a component are made, and none is left
-out: a bucket of any size is done so. Candidates pass if their signatures agree in `agree` of the
-places, then if the sets of their whole texts reach the similarity. Components grow by alternating
-large-star and small-star.
+the others, which shares most buckets with others; an original does so more than its copies.
+
+Where buckets still hold documents of several components, those documents are active, and a shingle
+that at most `rare` of them have is rare. Documents that share a rare one are compared unless those
+they share and the common ones can't reach the similarity. Any other pair can only be alike on its
+common shingles; documents that have too few of these for any pair are done. Of the rest, further
+ones lead their buckets, more each round, and are compared with those of other components, until in
+each bucket all pairs across components have been compared or have too few common shingles. No pairs
+inside a component are made, and none is left out: a bucket of any size is done so. Candidates pass if their signatures
+agree in `agree` of the places, then if the sets of their whole texts reach the similarity.
+Components grow by alternating large-star and small-star.
 
 With 24 bands of 5 rows, a pair of similarity 0.85 shares no band with probability under 1e-6.
 
@@ -25,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brickwork.llm import common as C
@@ -40,6 +44,8 @@ class MinHashConfig:
     rows: int = 5
     agree: float = 0.65
     leaders: tuple[int, ...] = (1, 1, 8, 4096)
+    #: A shingle of at most so many active documents is rare; the others are common, and told apart no further.
+    rare: int = 8
     seed: int = 5
 
 
@@ -187,18 +193,25 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     rest = members.where("rep <> leader").select("key", "rep", "near")
     for k in _counts(cfg):
         now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
-        # anew each round: fewer documents are active, so that more shingles are one document's own
-        bound = _own(C.checkpoint(_mixed(now)), texts, reps, cfg)
-        # a document of which too much is its own can be linked with none
-        marked = now.join(bound, "rep").where(F.col("size") * 100 - F.col("own") * 100 >= F.col("size") * cfg.percent).withColumn("h", F.xxhash64("rep", F.lit(k)))
+        # anew each round: fewer documents are active, so that more shingles are rare
+        open_ = C.checkpoint(_mixed(now))
+        if open_.isEmpty():
+            break
+        bound, alike = _rare(open_, texts, reps, cfg)
+        by_rare = C.checkpoint(_confirmed(alike, sig, texts, cfg))
+        if not by_rare.isEmpty():
+            links = links.unionByName(by_rare)
+            comp = components(links)
+            now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
+        marked = now.join(bound.where(~F.col("done")), "rep").withColumn("h", F.xxhash64("rep", F.lit(k)))
         active = C.checkpoint(_mixed(marked))
         if active.isEmpty():
             break
         # about k of a bucket's documents lead, one at least, all if there are no more
         share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
         active = active.withColumn("leads", (F.col("rep") == F.col("top")) | (share * F.col("n") < k - 1))
-        lead = active.where("leads").select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("own").alias("lead_own"))
-        both = F.least(F.col("size") - F.col("own"), F.col("lead_size") - F.col("lead_own"))
+        lead = active.where("leads").select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("rare").alias("lead_rare"))
+        both = F.least(F.col("size") - F.col("rare"), F.col("lead_size") - F.col("lead_rare"))
         possible = both * 100 >= (F.col("size") + F.col("lead_size") - both) * cfg.percent
         once = ~F.col("leads") | (F.col("lead") < F.col("rep"))  # of two that lead, one asks
         pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & once & possible).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
@@ -219,10 +232,11 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(several, "key")
 
 
-def _own(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """(rep, size, own): of the active documents the set's size, and how many of its shingles no other active one has.
+def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfig) -> tuple[DataFrame, DataFrame]:
+    """Of the active documents (rep, size, rare, done), and the pairs (a, b) to compare for their rare shingles.
 
-    An intersection is at most size - own, which bounds the similarity before any pair is made.
+    An intersection is at most a document's common shingles and the rare ones that both have. done:
+    the common ones alone don't reach the similarity with anything.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,10 +245,21 @@ def _own(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfi
             n = [len(x) for x in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), n), pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["rep", "shingle"])
 
-    ids = active.select("rep").distinct()
+    ids = active.select("rep", "comp").distinct()
     rows = texts.join(ids, "rep").select("rep", "text").mapInArrow(run, "rep long, shingle long")
-    lone = rows.groupBy("shingle").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("c")).where("c = 1").groupBy(F.col("low").alias("rep")).agg(F.count(F.lit(1)).alias("own"))
-    return C.checkpoint(ids.join(reps.select("rep", "size"), "rep").join(lone, "rep", "left").select("rep", "size", F.coalesce("own", F.lit(0)).alias("own")))
+    # one more than `rare` of a shingle's documents tell that it is common; Spark drops others before the shuffle
+    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("shingle").orderBy("rep"))).where(F.col("n") <= cfg.rare + 1)
+    lists = C.checkpoint(first.groupBy("shingle").agg(F.sort_array(F.collect_list("rep")).alias("reps")).where(F.size("reps") <= cfg.rare).select("reps"))
+    each = lists.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))
+    bound = ids.join(reps.select("rep", "size"), "rep").join(each, "rep", "left").select("rep", "comp", "size", F.coalesce("rare", F.lit(0)).alias("rare"))
+    bound = C.checkpoint(bound.withColumn("done", (F.col("size") - F.col("rare")) * 100 < F.col("size") * cfg.percent))
+    two = F.expr("flatten(transform(reps, (x, i) -> transform(slice(reps, i + 2, size(reps)), y -> struct(x AS a, y AS b))))")
+    shared = lists.where(F.size("reps") > 1).select(F.explode(two).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("both"))
+    for side in ("a", "b"):
+        shared = shared.join(bound.select(*[F.col(c).alias(side if c == "rep" else f"{c}_{side}") for c in ("rep", "comp", "size", "rare")]), side)
+    both = F.least(F.col("size_a") - F.col("rare_a"), F.col("size_b") - F.col("rare_b")) + F.col("both")
+    possible = both * 100 >= (F.col("size_a") + F.col("size_b") - both) * cfg.percent
+    return bound.drop("comp"), shared.where((F.col("comp_a") != F.col("comp_b")) & possible).select("a", "b")
 
 
 def _counts(cfg: MinHashConfig) -> Iterator[int]:

@@ -278,6 +278,19 @@ def test_minhash_of_a_large_near_group(spark):
     assert got == {i: find(i) for i in ids}
 
 
+@pytest.mark.parametrize("copies", [2, 8, 9, 20])
+def test_minhash_rare_shingles(spark, copies):
+    """Documents too far from their base, linked with those that share their changes, rare (to 8) or common."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for family in range(3):
+        changed = [f"f{family}x{i}" if i % 12 == family else w for i, w in enumerate(base)]
+        for c in range(copies):
+            rows.append((len(rows), " ".join([*changed[:100], f"c{family}x{c}", *changed[101:]])))
+    got = {x["doc_id"]: x["component_id"] for x in minhash.linked(spark.createDataFrame(rows, "doc_id long, text string"), minhash.QUERY).collect()}
+    assert got == {i: 0 if not i else (i - 1) // copies * copies + 1 for i in range(len(rows))}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 7), (50, 51), (51, 50), (60, 60)], "a long, b long")
     got = {r["node"]: r["comp"] for r in minhash.components(chain).collect()}

@@ -43,7 +43,7 @@ class MinHashConfig:
     bands: int = 24
     rows: int = 5
     agree: float = 0.65
-    leaders: tuple[int, ...] = (1, 1, 8, 4096)
+    leaders: tuple[int, ...] = (1, 8, 4096)
     #: A shingle of at most so many active documents is rare; the others are common, and told apart no further.
     rare: int = 8
     seed: int = 5
@@ -124,23 +124,26 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star; neighbours are never gathered, only their least is.
     """
     e = C.checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = _state(e)
-    while True:
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = C.checkpoint(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        now = _state(e)
-        if now == state:
-            break
-        state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def _state(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(e: DataFrame) -> bool:
+    """Whether each node of edges u > v either has one lesser neighbour, and no greater, or greater ones only."""
+    sides = e.select(F.col("u").alias("n"), F.lit(1).alias("lesser"), F.lit(0).alias("greater")).unionByName(e.select(F.col("v").alias("n"), F.lit(0).alias("lesser"), F.lit(1).alias("greater")))
+    nodes = sides.groupBy("n").agg(F.sum("lesser").alias("lesser"), F.max("greater").alias("greater"))
+    return nodes.where("lesser > 1 or (lesser = 1 and greater = 1)").isEmpty()
+
+
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with more links: those of the stars and the links."""
+    return components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links.select("a", "b")))
 
 
 def _confirmed(pairs: DataFrame, sig: DataFrame, texts: DataFrame, cfg: MinHashConfig) -> DataFrame:
@@ -188,8 +191,7 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     sig = reps.select("rep", "sig")
     # round 1: one document of each bucket leads
     pairs = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
-    links = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
-    comp = components(links)
+    comp = components(_confirmed(pairs, sig, texts, cfg))
     rest = members.where("rep <> leader").select("key", "rep", "near")
     for k in _counts(cfg):
         now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
@@ -200,8 +202,7 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
         bound, alike = _rare(open_, texts, reps, cfg)
         by_rare = C.checkpoint(_confirmed(alike, sig, texts, cfg))
         if not by_rare.isEmpty():
-            links = links.unionByName(by_rare)
-            comp = components(links)
+            comp = _joined(comp, by_rare)
             now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
         marked = now.join(bound.where(~F.col("done")), "rep").withColumn("h", F.xxhash64("rep", F.lit(k)))
         active = C.checkpoint(_mixed(marked))
@@ -218,8 +219,7 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
         more = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
         rest = C.checkpoint(active.select("key", "rep", "near").join(lead.select("key", F.col("lead").alias("rep")), ["key", "rep"], "left_anti"))
         if not more.isEmpty():
-            links = links.unionByName(more)
-            comp = components(links)
+            comp = _joined(comp, more)
     classes = reps.select("fp1", "fp2", "rep").join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("fp1", "fp2", F.coalesce("comp", "rep").alias("component_id"))
     joined = full.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("doc_id", "n_shingles", "component_id")
     alone = made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -10,7 +10,10 @@ that at most `rare` of them have is rare. Documents that share a rare one are co
 they share and the common ones can't reach the similarity. Any other pair can only be alike on its
 common shingles; documents that have too few of these for any pair are done. Of the rest, further
 ones lead their buckets, more each round, and are compared with those of other components, until in
-each bucket all pairs across components have been compared or have too few common shingles. No pairs
+each bucket all pairs across components have been compared or can't reach the similarity. They can't
+if they have too few common shingles, or if their parity maps differ in too many bits: each shingle
+flips one of `PARITY_WORDS * 64` bits of its set's map, so two sets differ in at least as many
+shingles as their maps in bits. No pairs
 inside a component are made, and none is left out: a bucket of any size is done so. Candidates pass if their signatures
 agree in `agree` of the places, then if the sets of their whole texts reach the similarity.
 Components grow by alternating large-star and small-star.
@@ -35,6 +38,10 @@ from pyspark.sql import functions as F
 from brickwork.llm import common as C
 
 
+#: 64-bit words of a set's parity map.
+PARITY_WORDS = 16
+
+
 @dataclass(frozen=True)
 class MinHashConfig:
     words: int = 5
@@ -87,7 +94,7 @@ def functions(cfg: MinHashConfig) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """doc_id, n_shingles, the set's two digests, the bands' keys and a byte of each minimum."""
+    """doc_id, n_shingles, the set's two digests, the bands' keys, a byte of each minimum and the parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = functions(cfg)
@@ -99,11 +106,16 @@ def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
             starts = (np.cumsum(n) - n)[full]
             low = np.empty((len(full), len(a)), np.uint64)
             fp1, fp2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+            parity = np.zeros((len(full), PARITY_WORDS), np.uint64)
             if len(full):
                 for k in range(len(a)):
                     low[:, k] = np.minimum.reduceat(allof * a[k] + b[k], starts)
                 fp1[full] = np.add.reduceat(C.mix(allof), starts)
                 fp2[full] = np.add.reduceat(C.mix(allof ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+                place = C.mix(allof ^ np.uint64(0x3C3C3C3C3C3C3C3C)) % np.uint64(64 * PARITY_WORDS)
+                word, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
+                for k in range(PARITY_WORDS):
+                    parity[:, k] = np.bitwise_xor.reduceat(np.where(word == k, bit, np.uint64(0)), starts)
             low = C.mix(low)
             keys = np.full((len(full), cfg.bands), 1, np.uint64) * np.arange(cfg.bands, dtype=np.uint64)
             for r in range(cfg.rows):
@@ -113,9 +125,9 @@ def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
             sig: list = [None] * len(n)
             for i, d in enumerate(full.tolist()):
                 sig[d] = marks[i].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)), C.rows_list(counts, keys.view(np.int64).ravel(), pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)), C.rows_list(counts, keys.view(np.int64).ravel(), pa.int64()), pa.array(sig, pa.binary()), C.rows_list(np.where(n > 0, PARITY_WORDS, 0), parity.view(np.int64).ravel(), pa.int64())], names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary, parity array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -178,7 +190,7 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     cfg = cfg or MinHashConfig()
     made = C.written(signatures(docs, cfg), "signatures")
     full = made.where("n_shingles > 0")
-    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size")), "representatives")
+    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n_shingles").alias("size")), "representatives")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bucketed = C.written(keyed.join(shared, "key"), "buckets")
@@ -211,11 +223,14 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
         # about k of a bucket's documents lead, one at least, all if there are no more
         share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
         active = active.withColumn("leads", (F.col("rep") == F.col("top")) | (share * F.col("n") < k - 1))
-        lead = active.where("leads").select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("rare").alias("lead_rare"))
+        lead = active.where("leads").select("key", F.col("rep").alias("lead"), F.col("comp").alias("lead_comp"), F.col("size").alias("lead_size"), F.col("rare").alias("lead_rare"), F.col("parity").alias("lead_parity"))
         both = F.least(F.col("size") - F.col("rare"), F.col("lead_size") - F.col("lead_rare"))
         possible = both * 100 >= (F.col("size") + F.col("lead_size") - both) * cfg.percent
+        # the sets differ in `differ` shingles at least; asked last, as it costs most
+        differ = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("lead_parity")[i])) for i in range(PARITY_WORDS)), F.lit(0))
+        close = differ * (100 + cfg.percent) <= (F.col("size") + F.col("lead_size")) * (100 - cfg.percent)
         once = ~F.col("leads") | (F.col("lead") < F.col("rep"))  # of two that lead, one asks
-        pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & once & possible).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+        pairs = active.join(lead, "key").where((F.col("comp") != F.col("lead_comp")) & once & possible & close).select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
         more = C.checkpoint(_confirmed(pairs, sig, texts, cfg))
         rest = C.checkpoint(active.select("key", "rep", "near").join(lead.select("key", F.col("lead").alias("rep")), ["key", "rep"], "left_anti"))
         if not more.isEmpty():
@@ -251,7 +266,7 @@ def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConf
     first = rows.withColumn("n", F.row_number().over(Window.partitionBy("shingle").orderBy("rep"))).where(F.col("n") <= cfg.rare + 1)
     lists = C.checkpoint(first.groupBy("shingle").agg(F.sort_array(F.collect_list("rep")).alias("reps")).where(F.size("reps") <= cfg.rare).select("reps"))
     each = lists.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))
-    bound = ids.join(reps.select("rep", "size"), "rep").join(each, "rep", "left").select("rep", "comp", "size", F.coalesce("rare", F.lit(0)).alias("rare"))
+    bound = ids.join(reps.select("rep", "size", "parity"), "rep").join(each, "rep", "left").select("rep", "comp", "size", "parity", F.coalesce("rare", F.lit(0)).alias("rare"))
     bound = C.checkpoint(bound.withColumn("done", (F.col("size") - F.col("rare")) * 100 < F.col("size") * cfg.percent))
     two = F.expr("flatten(transform(reps, (x, i) -> transform(slice(reps, i + 2, size(reps)), y -> struct(x AS a, y AS b))))")
     shared = lists.where(F.size("reps") > 1).select(F.explode(two).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("both"))

@@ -340,3 +340,18 @@ def test_pipeline(spark, tmp_path, docs):
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 11))
     assert html.unescape("&amp;") == "&" and F is not None
+
+
+def test_parity_maps_bound_the_difference(spark):
+    from brickwork.llm import minhash
+
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:390]), " ".join(words[200:]), " ".join(words[::2]), "one two", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    maps = {r.doc_id: r.parity for r in minhash.signatures(rows, minhash.QUERY).collect()}
+    own = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} or {tuple(t.split())} for t in texts[:5]]
+    assert not maps[5] and all(len(maps[i]) == minhash.PARITY_WORDS for i in range(5))
+    for i in range(5):
+        for j in range(5):
+            differ = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(maps[i], maps[j], strict=True))
+            assert differ <= len(own[i] ^ own[j]) and (differ > 0) == (i != j)

@@ -343,8 +343,6 @@ def test_every_operator_is_registered():
 
 
 def test_parity_maps_bound_the_difference(spark):
-    from brickwork.llm import minhash
-
     words = [f"w{i}" for i in range(400)]
     texts = [" ".join(words), " ".join(words[:390]), " ".join(words[200:]), " ".join(words[::2]), "one two", ""]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

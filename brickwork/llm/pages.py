@@ -2,21 +2,26 @@
 
 Pages of one host are merged into a style tree, whose nodes are paths of elements with their classes.
 A node's importance joins two entropies over the host's pages: of the styles in which its children
-appear, and of the texts that it holds; what stands alike on many pages weighs little. Branches below
-`least` are removed from each page. Element names and class words give the tree a prior: navigation,
-adverts, forms and the like have none; what an article or main element holds has full importance, and
-where there is such an element, all else has none.
-
-Defined results: null and empty pages have an empty text; a host with fewer than `pages` pages has no
-evidence and removes nothing by entropy; a null url is the host ""; repeated rows count as pages and
-are each returned; white space is what str.split takes for it; `br` is white space; further columns
-are ignored; an empty table gives no rows.
+appear, and of the texts that it holds; what stands alike on many pages weighs little. A text has an
+importance too, by the share of pages that have it at its path. A block goes if its own text or a branch
+above it is below a threshold. Where the block stands is the prior, which sets the threshold: `held`
+inside an article or main element, `beside` next to one (for the text and its own node), `least` on pages
+without any. Inside, a low branch takes along only texts that are repeated themselves (below `common`),
+and the tree never takes all. On a host without evidence, what stands beside goes if the article or main
+element holds most of the text.
+
+Element names and class words tell noise (navigation, adverts, forms and the like), which goes.
+
+Defined results: null and empty pages have an empty text; a host with fewer than `pages` pages of
+different content has no evidence and removes nothing by entropy; a null url is the host ""; repeated
+rows count as one page and are each returned; white space is what str.split takes for it; `br` is
+white space; further columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from html import unescape
 
@@ -32,6 +37,10 @@ from brickwork.llm import common as C
 @dataclass(frozen=True)
 class StyleConfig:
     least: float = 0.2
+    held: float = 0.1
+    beside: float = 0.5
+    #: Texts at least as important are not listed; a host lists at most (blocks a page) * pages ** (1 - common).
+    common: float = 0.5
     pages: int = 5
     #: Share of the styles' entropy; the rest is the texts'.
     styles: float = 0.1
@@ -152,21 +161,26 @@ def _id(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - 2**63
 
 
+def _text_id(path: str, text: str) -> int:
+    return _id(f"{path}\0{text}")
+
+
 def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
-    """(host, path, importance, n) of the nodes of every host's tree."""
+    """(host, path, importance) of the nodes of every host's tree, and of its repeated texts by `_text_id`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "html"):
-            out: tuple[list, ...] = ([], [], [], [])
+            names, whole, features = [], [], []
             for url, html in zip(b.column("url").to_pylist(), b.column("html").to_pylist(), strict=True):
-                page, name = Page(html or ""), host(url)
-                found = {(_id(path), 0, _id(text)) for path, text, _, _ in page.blocks} | {(_id(path), 1, _id(style)) for path, style in page.styles}
-                for row in sorted({(0, 2, 0)} | found):
-                    for column, value in zip(out, (name, *row), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["host", "path", "kind", "feature"])
-
-    rows = pages.select("url", "html").mapInArrow(run, "host string, path long, kind int, feature long")
+                page = Page(html or "")
+                found = sorted({(_id(x[0]), 0, _text_id(x[0], x[1])) for x in page.blocks} | {(_id(path), 1, _id(style)) for path, style in page.styles})
+                names.append(host(url))
+                whole.append(xxhash.xxh3_128_digest(np.array(found, np.int64).tobytes()))
+                features.append([{"path": p, "kind": k, "feature": f} for p, k, f in [(0, 2, 0), *found]])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(whole, pa.binary()), pa.array(features, pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64())])))], names=["host", "whole", "features"])
+
+    each = pages.select("url", "html").mapInArrow(run, "host string, whole binary, features array<struct<path:long,kind:int,feature:long>>").dropDuplicates(["host", "whole"])
+    rows = each.select("host", F.inline("features"))
     counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).cast("double").alias("c"))
     node = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 2, F.col("c"))).alias("m"),
@@ -182,14 +196,36 @@ def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
     style = (F.log("n") - F.col("alike") / F.col("n")) / logs
     # a node without text of its own is as important as what its branches hold, so those are judged
     both = F.when(F.col("texts").isNull(), F.lit(1.0)).when(F.col("n").isNull(), content).otherwise(cfg.styles * style + (1 - cfg.styles) * content)
-    return node.where("m IS NULL").drop("m").join(size, "host").where(F.col("pages") >= cfg.pages).select("host", "path", both.alias("importance"), F.col("pages").alias("n"))
+    size = size.where(F.col("pages") >= cfg.pages)
+    nodes = node.where("m IS NULL").drop("m").join(size, "host").select("host", "path", both.alias("importance"))
+    texts = counted.where("kind = 0 AND c > 1").join(size, "host").select("host", F.col("feature").alias("path"), (1 - F.log("c") / logs).alias("importance")).where(F.col("importance") < cfg.common)
+    return nodes.unionByName(texts).unionByName(size.select("host", F.lit(0).cast("long").alias("path"), F.lit(1.0).alias("importance")))
 
 
-def main_text(html: str, low: frozenset[int]) -> str:
-    blocks = Page(html).blocks
+def main_text(html: str, low: Mapping[int, float], cfg: StyleConfig | None = None) -> str:
+    """The page's text. low: importances of the host's less important paths and texts; empty if there is no evidence."""
+    cfg = cfg or StyleConfig()
+    blocks = [b for b in Page(html).blocks if not b[2]]
     inside = [b for b in blocks if b[3]]
-    chosen = inside or [b for b in blocks if not (low and any(_id(p) in low for p in _above(b[0])))]
-    return "\n".join(text for _, text, noise, _ in chosen if not noise)
+    if not low:
+        most = 2 * sum(len(b[1]) for b in inside) >= sum(len(b[1]) for b in blocks)
+        chosen = inside if inside and most else blocks
+    else:
+        kept = [_important(b, bool(inside), low, cfg) for b in blocks]
+        spared = inside and not any(k and b[3] for k, b in zip(kept, blocks, strict=True))
+        chosen = [b for k, b in zip(kept, blocks, strict=True) if k or (spared and b[3])]
+    return "\n".join(b[1] for b in chosen)
+
+
+def _important(block: tuple[str, str, bool, bool], split: bool, low: Mapping[int, float], cfg: StyleConfig) -> bool:
+    """Whether the tree keeps a block of a page that is split by an article or main element or not."""
+    path, text, _, main = block
+    own = low.get(_text_id(path, text), 1.0)
+    if split and not main:
+        return min(own, low.get(_id(path), 1.0)) >= cfg.beside
+    least = cfg.held if main else cfg.least
+    branch = min((low.get(_id(p), 1.0) for p in _above(path)), default=1.0)
+    return own >= least and (branch >= least or (main and own >= cfg.common))
 
 
 def _above(path: str) -> Iterator[str]:
@@ -203,20 +239,20 @@ def extract(pages: DataFrame, cfg: StyleConfig | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     cfg = cfg or StyleConfig()
     tree = style_tree(pages, cfg)
-    # the host's unimportant branches; a list is as long as the host has different ones
-    low = C.checkpoint(tree.where(F.col("importance") < cfg.least).select("host", "path"))
-    lists = low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("low"))
+    # the host's less important branches and texts, and the 0 that tells that there is evidence
+    low = C.checkpoint(tree.where((F.col("importance") < max(cfg.least, cfg.held, cfg.beside)) | (F.col("path") == 0)))
+    lists = low.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("path", "importance"))).alias("low"))
     lists = F.broadcast(lists) if low.count() <= cfg.broadcast_rows else lists
     rows = pages.select("page_id", "url", "html").withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
+        known: dict[str, dict[int, float]] = {}
         for b in C.slices(batches, "html"):
             texts = []
             for name, html, low in zip(b.column("host").to_pylist(), C.strings(b.column("html")), b.column("low"), strict=True):
                 if name not in known:
-                    known[name] = frozenset(low.as_py() or ())
-                texts.append(main_text(html, known[name]))
+                    known[name] = {x["path"]: x["importance"] for x in low.as_py() or ()}
+                texts.append(main_text(html, known[name], cfg))
             yield pa.RecordBatch.from_arrays([b.column("page_id").cast(pa.int64()), b.column("url").cast(pa.string()), pa.array(texts, pa.string()), pa.array(np.array([len(x) for x in texts], np.int64))], names=["page_id", "url", "text", "n_chars"])
 
     return rows.join(lists, "host", "left").select("page_id", "url", "html", "host", "low").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -191,6 +191,19 @@ def test_pages(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_tree_decides_inside_and_beside_an_article(spark):
+    share, body = "Share this with all of your friends", "<h1>Head {0}</h1><p>Own words of {0}</p>"
+    inside = f"<body><article>{body}<p>{share}</p><div><p>Best offers</p></div></article></body>"
+    beside = f"<body><article><p>Teaser {{0}}</p></article><div><p>The long body text of page {{0}}</p></div><div><b>{share}</b></div></body>"
+    rows = [(i, "http://in/%d" % i, inside.format(i)) for i in range(12)] + [(20 + i, "http://by/%d" % i, beside.format(i)) for i in range(12)]
+    rows += [(40 + i, "http://copies/%d" % i, inside.format("one")) for i in range(9)] + [(60, "http://alone/", beside.format(60))]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Head {i}\nOwn words of {i}" for i in range(12))
+    assert all(got[i] == f"Teaser {i - 20}\nThe long body text of page {i - 20}" for i in range(20, 32))
+    assert all(got[i] == f"Head one\nOwn words of one\n{share}\nBest offers" for i in range(40, 49))  # one page, no evidence
+    assert got[60] == f"Teaser 60\nThe long body text of page 60\n{share}"
+
+
 def _base_spans(t):
     assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     found = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[1]) >= 8]

@@ -10,7 +10,12 @@ without any. Inside, a low branch takes along only texts that are repeated thems
 and the tree never takes all. On a host without evidence, what stands beside goes if the article or main
 element holds most of the text.
 
-Element names and class words tell noise (navigation, adverts, forms and the like), which goes.
+Noise goes by element (navigation, scripts) and by whole class words. Comments, adverts and the like vary
+from page to page, so entropy can't tell them, and their word alone decides. Words of what a site repeats
+(menus, notices, shares) and forms are taken for noise only if the tree confirms it (below `beside`);
+without evidence a word decides outside of article and main only, a form everywhere, and neither if
+nothing would be left. Ids say nothing of noise. An article or main element starts anew without the
+noise around it; an article inside what is noise for sure counts only if the page has no other text.
 
 Defined results: null and empty pages have an empty text; a host with fewer than `pages` pages of
 different content has no evidence and removes nothing by entropy; a null url is the host ""; repeated
@@ -57,7 +62,11 @@ _NOISE = frozenset("nav header footer aside form head menu select button dialog
 _MAIN = frozenset(("article", "main"))
 _CLOSES_P = _BLOCK - {"body", "html"}
 _SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_NOISE_WORD = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|footer|header|masthead|comment|comments|disqus|reply|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|tags|widget|toolbar|copyright)(?:$|[\s_-])", re.I)
+_COMMENT = frozenset("comment comments comment-list comments-area comment-respond".split())
+_VARIED = _COMMENT | frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo disqus reply replies related related-posts recommended".split())
+_ALIKE = frozenset("banner cookie cookies consent gdpr notice alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead share sharing social newsletter subscribe signup login search pagination pager tags widget toolbar copyright cookie-banner site-header site-footer share-buttons".split())
+#: How sure noise is: by a word or a form the tree must confirm it.
+WORD, FORM, SURE = 1, 2, 3
 _HOST = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)")
 _DIGITS = re.compile(r"\d+")
 
@@ -68,12 +77,15 @@ def host(url: str | None) -> str:
 
 
 class Page:
-    """The blocks of a page as (path, text, noise, main), and the child styles of its nodes."""
+    """The blocks of a page as (path, text, noise, main), and the child styles of its nodes.
+
+    main is 1 inside an article or main element, 2 inside an article that stands in sure noise.
+    """
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[str, str, bool, bool]] = []
+        self.blocks: list[tuple[str, str, int, int]] = []
         self.styles: list[tuple[str, str]] = []
-        self.stack: list[tuple[str, str, bool, bool, list[str]]] = [("", "", False, False, [])]
+        self.stack: list[tuple[str, str, int, int, list[str]]] = [("", "", 0, 0, [])]
         self.text: list[str] = []
         at, raw = 0, ""
         for m in _TOKEN.finditer(html):
@@ -128,14 +140,22 @@ class Page:
         if name in _VOID:
             return
         _, path, noise, main, children = self.stack[-1]
-        names = " ".join((x[1] or x[2] or x[3]) for x in _NAMES.findall(attributes)) if attributes else ""
+        found = [(x[0].lower(), x[1] or x[2] or x[3]) for x in _NAMES.findall(attributes)] if attributes else []
+        words = {w for kind, x in found if kind != "id" for w in x.lower().split()}
+        # ids inside an article are mostly slugs of their own, which would part the pages' paths
+        names = " ".join(x for kind, x in found if kind != "id" or not (main or name in _MAIN))
         style = name
         if names:
             style += "." + _DIGITS.sub("0", names)
         if len(children) < 200 and not (children and children[-1] == style):
             children.append(style)
-        noise = noise or name in _NOISE or bool(names and name not in ("body", "html") and name not in _MAIN and _NOISE_WORD.search(names)) or (name == "article" and "comment" in names.lower())
-        self.stack.append((name, f"{path}/{style}" if name in _BLOCK or name in _NOISE else path, noise, main or name in _MAIN, []))
+        if name in _MAIN:
+            main = 1 if name == "main" else 2 if noise == SURE or main == 2 else 1
+            noise = SURE if name == "article" and words & _COMMENT else 0
+        elif name not in ("body", "html"):
+            own = SURE if words & _VARIED or (name in _NOISE and name != "form") else FORM if name == "form" else WORD if words & _ALIKE else 0
+            noise = max(noise, own)
+        self.stack.append((name, f"{path}/{style}" if name in _BLOCK or name in _NOISE else path, noise, main, []))
 
     def close_to(self, names: tuple[str, ...], stop: frozenset[str]) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
@@ -205,23 +225,29 @@ def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
 def main_text(html: str, low: Mapping[int, float], cfg: StyleConfig | None = None) -> str:
     """The page's text. low: importances of the host's less important paths and texts; empty if there is no evidence."""
     cfg = cfg or StyleConfig()
-    blocks = [b for b in Page(html).blocks if not b[2]]
-    inside = [b for b in blocks if b[3]]
+    found = [b for b in Page(html).blocks if b[2] < SURE]
+    chosen = _chosen([b for b in found if b[3] < 2], low, cfg) or _chosen([b for b in found if b[3] == 2], low, cfg)
+    return "\n".join(b[1] for b in chosen)
+
+
+def _chosen(blocks: list[tuple[str, str, int, int]], low: Mapping[int, float], cfg: StyleConfig) -> list[tuple[str, str, int, int]]:
     if not low:
+        blocks = [b for b in blocks if not b[2] or (b[2] == WORD and b[3])] or blocks
+        inside = [b for b in blocks if b[3]]
         most = 2 * sum(len(b[1]) for b in inside) >= sum(len(b[1]) for b in blocks)
-        chosen = inside if inside and most else blocks
-    else:
-        kept = [_important(b, bool(inside), low, cfg) for b in blocks]
-        spared = inside and not any(k and b[3] for k, b in zip(kept, blocks, strict=True))
-        chosen = [b for k, b in zip(kept, blocks, strict=True) if k or (spared and b[3])]
-    return "\n".join(b[1] for b in chosen)
+        return inside if inside and most else blocks
+    inside = [b for b in blocks if b[3]]
+    kept = [b for b in blocks if _important(b, bool(inside), low, cfg)]
+    if inside and not any(b[3] for b in kept):
+        kept = [b for b in blocks if (b[3] and not b[2]) or _important(b, True, low, cfg)]
+    return kept
 
 
-def _important(block: tuple[str, str, bool, bool], split: bool, low: Mapping[int, float], cfg: StyleConfig) -> bool:
+def _important(block: tuple[str, str, int, int], split: bool, low: Mapping[int, float], cfg: StyleConfig) -> bool:
     """Whether the tree keeps a block of a page that is split by an article or main element or not."""
-    path, text, _, main = block
+    path, text, noise, main = block
     own = low.get(_text_id(path, text), 1.0)
-    if split and not main:
+    if noise or (split and not main):
         return min(own, low.get(_id(path), 1.0)) >= cfg.beside
     least = cfg.held if main else cfg.least
     branch = min((low.get(_id(p), 1.0) for p in _above(path)), default=1.0)

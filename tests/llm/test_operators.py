@@ -204,6 +204,28 @@ def test_pages_tree_decides_inside_and_beside_an_article(spark):
     assert got[60] == f"Teaser 60\nThe long body text of page 60\n{share}"
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div class='page has-sidebar'><article>{}</article></div></body>",
+    "<body><div class='no-comments'><main>{}</main></div></body>",
+    "<body><form id='aspnetForm'><article>{}</article></form></body>",
+    "<body><form id='aspnetForm'><div>{}</div></form></body>",
+    "<body><div class='sidebar'><article>{}</article></div></body>",
+    "<body><div class='promo'><article>{}</article></div></body>",
+    "<body><nav><a>Home</a><main>{}</main></nav></body>",
+    "<body><article class='comments-open'>{}</article><aside><article>teaser</article></aside></body>",
+])
+def test_pages_noise_around_an_article(page):
+    body = "<h2 id='side-effects'>Side effects</h2><section id='search-results'><p>Found</p></section><div class='notice'><p>Mind this</p></div>"
+    assert pages.main_text(page.format(body), frozenset()) == "Side effects\nFound\nMind this"
+
+
+def test_pages_noise_words_are_confirmed_by_the_tree(spark):
+    page = "<body><article><p>Body {0}</p><div class='notice'><p>{1}</p></div><div class='comments'><p>Reader {0}</p></div></article></body>"
+    rows = [(i, "http://own/%d" % i, page.format(i, f"Only here {i}")) for i in range(8)] + [(10 + i, "http://same/%d" % i, page.format(i, "We use cookies")) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Body {i}\nOnly here {i}" and got[10 + i] == f"Body {i}" for i in range(8))
+
+
 def _base_spans(t):
     assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     found = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[1]) >= 8]

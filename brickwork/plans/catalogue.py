@@ -367,5 +367,5 @@ def boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(spark, sf_dir).withColumn("computed_at", F.lit("")).withColumn("days_on_market", F.lit(1)).withColumn("neighbourhood_avg_price_per_m2", F.col("price_per_m2") * 0 + 2000.0).withColumn("property_id", F.col("property_id").cast("bigint"))
-    fitted = model.train(rows, ModelConfig(models=("dummy", "ridge"), folds=3, min_rows=100))
+    fitted = model.train(rows, ModelConfig())
     return fitted.predict(rows.select("external_id", "property_type", "city", "neighbourhood", "rooms", "baths", "area_m2"))

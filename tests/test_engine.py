@@ -168,6 +168,35 @@ def test_model(spark, tmp_path):
         model.train(spark.createDataFrame(rows[:50], TRAINING), ModelConfig())
 
 
+def test_train_predict_is_registered_whole(spark, monkeypatch):
+    from brickwork.config import ModelConfig
+    from brickwork.plans import catalogue
+
+    given = []
+    monkeypatch.setattr(model, "train", lambda rows, cfg: given.append(cfg) or (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        catalogue.QUERIES["train_predict"](spark, "/root/testdata/sf0.001")
+    assert given == [ModelConfig()] and (given[0].models, given[0].folds, given[0].min_rows) == (("dummy", "ridge", "forest", "boosted"), 5, 1000)
+    forest, boosted = model._regressor("forest", given[0]), model._regressor("boosted", given[0])
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (300, 30, 2)
+    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (400, 0.05, 6)
+
+
+def test_model_fits_forest_and_boosted(spark):
+    import random
+
+    from brickwork.config import ModelConfig
+    from brickwork.schemas import TRAINING
+
+    r = random.Random(1)
+    rows = []
+    for i in range(300):
+        area, m2 = r.uniform(60, 400), r.uniform(8000, 12000)
+        rows.append((i, area * m2, m2, "", 1, r.choice(["Apartment", "Villa"]), r.choice("xyz"), r.choice(["a", None]), float(r.randint(0, 5)), 1.0, area, r.randint(1, 19), m2, False))
+    fitted = model.train(spark.createDataFrame(rows, TRAINING), ModelConfig(models=("dummy", "forest", "boosted"), folds=2, min_rows=100, trees=3, depth=4, rounds=2))
+    assert fitted.kind in ("forest", "boosted") and set(fitted.metrics["cv_r2"]) == {"dummy", "forest", "boosted"}
+
+
 def test_search(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], "a"), (2, [1.0, 0.1], "a"), (3, [0.0, 1.0], "b"), (4, [0.0, 0.0], "c")], "vec_id bigint, embedding array<float>, k string")
     assert [r["vec_id"] for r in vectors.top_k(df, [1.0, 0.0], 3).collect()] == [1, 2, 3]

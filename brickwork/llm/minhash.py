@@ -22,7 +22,9 @@ With 24 bands of 5 rows, a pair of similarity 0.85 shares no band with probabili
 
 Defined results: null and empty texts, or texts without words, have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one shingle; repeated rows
-have equal sets and so one component; rows of one doc_id with different texts count as linked.
+have equal sets and so one component; rows of one doc_id with different texts count as linked. Rows
+without doc_id are told apart by their texts and linked like all others: each text has a number from
+2^62 on for an id, which is its component_id if no row of a lesser id is linked.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brickwork.llm import common as C
@@ -93,8 +95,13 @@ def functions(cfg: MinHashConfig) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**64, n, dtype=np.uint64)
 
 
+def row_id() -> Column:
+    """The row's doc_id, or a number by its text that comes after all usual ids."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62))
+
+
 def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """doc_id, n_shingles, the set's two digests, the bands' keys, a byte of each minimum and the parity map."""
+    """doc_id, id, n_shingles, the set's two digests, the bands' keys, a byte of each minimum and the parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = functions(cfg)
@@ -125,9 +132,9 @@ def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
             sig: list = [None] * len(n)
             for i, d in enumerate(full.tolist()):
                 sig[d] = marks[i].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)), C.rows_list(counts, keys.view(np.int64).ravel(), pa.int64()), pa.array(sig, pa.binary()), C.rows_list(np.where(n > 0, PARITY_WORDS, 0), parity.view(np.int64).ravel(), pa.int64())], names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig", "parity"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("id"), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)), C.rows_list(counts, keys.view(np.int64).ravel(), pa.int64()), pa.array(sig, pa.binary()), C.rows_list(np.where(n > 0, PARITY_WORDS, 0), parity.view(np.int64).ravel(), pa.int64())], names=["doc_id", "id", "n_shingles", "fp1", "fp2", "bands", "sig", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary, parity array<long>")
+    return docs.select("doc_id", row_id().alias("id"), "text").mapInArrow(run, "doc_id long, id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary, parity array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -187,10 +194,14 @@ def _confirmed(pairs: DataFrame, sig: DataFrame, texts: DataFrame, cfg: MinHashC
 
 def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    cfg = cfg or MinHashConfig()
+    return _linked(docs, cfg or MinHashConfig()).drop("id")
+
+
+def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """What `linked` gives, with each row's id."""
     made = C.written(signatures(docs, cfg), "signatures")
     full = made.where("n_shingles > 0")
-    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n_shingles").alias("size")), "representatives")
+    reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n_shingles").alias("size")), "representatives")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bucketed = C.written(keyed.join(shared, "key"), "buckets")
@@ -199,7 +210,7 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
     ranked = bucketed.join(near, "rep").select("key", "rep", "near")
     members = C.written(ranked.join(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "key"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text"), "texts")
+    texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text"), "texts")
     sig = reps.select("rep", "sig")
     # round 1: one document of each bucket leads
     pairs = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
@@ -236,9 +247,9 @@ def linked(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
         if not more.isEmpty():
             comp = _joined(comp, more)
     classes = reps.select("fp1", "fp2", "rep").join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("fp1", "fp2", F.coalesce("comp", "rep").alias("component_id"))
-    joined = full.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("doc_id", "n_shingles", "component_id")
-    alone = made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return joined.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    joined = full.select("doc_id", "id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("doc_id", "id", "n_shingles", "component_id")
+    alone = made.where("n_shingles = 0").select("doc_id", "id", "n_shingles", F.col("id").alias("component_id"))
+    return joined.unionByName(alone).withColumn("kept", F.col("id") == F.col("component_id"))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -286,9 +297,9 @@ def _counts(cfg: MinHashConfig) -> Iterator[int]:
 
 
 def keep(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
-    """docs without all but one of each component, that of the least doc_id."""
-    kept = linked(docs, cfg).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"])).drop("__id").dropDuplicates(["doc_id"])
+    """docs without all but one of each component, that of the least id."""
+    kept = _linked(docs, cfg or MinHashConfig()).where("kept").select(F.col("id").alias("__id")).distinct()
+    return docs.withColumn("__id", row_id()).join(kept, "__id").dropDuplicates(["__id"]).select(docs.columns)
 
 
 #: The registered query's parameters.

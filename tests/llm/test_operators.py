@@ -284,6 +284,19 @@ def test_minhash_keep(docs):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [i for i, c in enumerate(comps) if c == i]
 
 
+def test_minhash_keep_without_doc_ids(spark):
+    r = random.Random(8)
+    prose = lambda: " ".join(f"v{r.randrange(500)}" for _ in range(60))
+    own, near = [prose() for _ in range(6)], prose()
+    rows = [(None, t) for t in [*own, own[0], near, near + " end", "", None]] + [(4, near.replace(near.split()[0], "x", 1)), (9, prose()), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = minhash.keep(docs).collect()
+    assert sorted(x["text"] or "" for x in kept if x["doc_id"] is None) == sorted(["", "", *own])
+    assert sorted(x["doc_id"] for x in kept if x["doc_id"] is not None) == [4, 9]
+    got = minhash.linked(docs).where("doc_id IS NULL").collect()
+    assert len(got) == 11 and sum(x["component_id"] == 4 and not x["kept"] for x in got) == 2
+
+
 def test_minhash_of_a_large_near_group(spark):
     """Copies that differ from the original only, and others that are near but not linked."""
     r = random.Random(5)

@@ -13,8 +13,9 @@ Phrases in more than `hot` different segments are dealt out by window instead, s
 gathers a frequent phrase. Equal segments are told by 128 bits (phrase and segment), windows by words.
 
 Defined results: a null or empty text has no words; fewer words than a window has are all kept;
-repeated rows of one doc_id are one document and are each returned; rows without doc_id come before
-all others and are one document; an empty table gives no rows; further columns are ignored.
+rows of one doc_id and text are one document and are each returned; a document is told by its doc_id
+and 64 bits of its text, so different texts under one doc_id, or without any, are documents of their own,
+in the order of those bits; rows without doc_id come before all others; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def segments(w: C.Words, cfg: RepeatConfig) -> tuple[np.ndarray, ...]:
     return phrase[anchor], _rolled(total, start, start + count + cfg.window - 1), doc[start], start, count, anchor
 
 
-RUNS = "h long, sh long, doc_id long, start int, n int"
+RUNS = "h long, sh long, doc_id long, digest long, start int, n int"
 #: Stands for a missing doc_id; it sorts first.
 NO_ID = -(2**63)
 
@@ -87,12 +88,12 @@ def runs(docs: DataFrame, cfg: RepeatConfig) -> DataFrame:
             w = C.Words(b.column("text"))
             h, sh, doc, start, count, _ = segments(w, cfg)
             ids = np.asarray(b.column("doc_id"))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(ids[doc], pa.int64()), pa.array((start - w.first[doc]).astype(np.int32)), pa.array(count.astype(np.int32))], names=["h", "sh", "doc_id", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(ids[doc], pa.int64()), pa.array(np.asarray(b.column("digest"))[doc], pa.int64()), pa.array((start - w.first[doc]).astype(np.int32)), pa.array(count.astype(np.int32))], names=["h", "sh", "doc_id", "digest", "start", "n"])
 
     return docs.mapInArrow(run, RUNS)
 
 
-SEGMENT = "key long, doc_id long, start int, n int, at int, words binary"
+SEGMENT = "key long, doc_id long, digest long, start int, n int, at int, words binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.RecordBatch]:
@@ -103,23 +104,21 @@ def _cut(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.Re
         local = start - w.first[doc]
         place = {(d, s): i for i, (d, s) in enumerate(zip(doc.tolist(), local.tolist(), strict=True))}
         raw = w.data.tobytes()
-        out: tuple[list, ...] = ([], [], [], [], [], [])
-        for d, (doc_id, wanted) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
+        out: tuple[list, ...] = ([], [], [], [], [], [], [])
+        for d, (doc_id, digest, wanted) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("digest").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
             for item in wanted:
-                i = place.get((d, item["start"]))
-                if i is None:  # of another row with this doc_id
-                    continue
+                i = place[d, item["start"]]
                 first, n = int(start[i]), int(count[i])
                 words = [raw[x:y] for x, y in zip(w.start[first : first + n + cfg.window - 1].tolist(), w.end[first : first + n + cfg.window - 1].tolist(), strict=True)]
                 if not item["hot"]:
-                    rows = [(int(h[i].view(np.int64)), doc_id, item["start"], n, int(anchor[i]) - first, b" ".join(words))]
+                    rows = [(int(h[i].view(np.int64)), doc_id, digest, item["start"], n, int(anchor[i]) - first, b" ".join(words))]
                 else:
-                    rows = [(_key(own), doc_id, item["start"] + k, 1, int(anchor[i]) - first - k, own) for k in range(n) for own in [b" ".join(words[k : k + cfg.window])]]
+                    rows = [(_key(own), doc_id, digest, item["start"] + k, 1, int(anchor[i]) - first - k, own) for k in range(n) for own in [b" ".join(words[k : k + cfg.window])]]
                 for row in rows:
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[x.split()[0] for x in SEGMENT.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[x.split()[0] for x in SEGMENT.split(", ")])
 
 
 def _key(words: bytes) -> int:
@@ -130,7 +129,7 @@ def _located(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
     """For segments sorted by key: document, first window and the bits of those windows that occur here first."""
     rows: list[tuple] = []
     for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+        for row in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
             if len(rows) >= cfg.shard and row[0] != rows[-1][0]:
                 yield _shard(rows, cfg)
                 rows = []
@@ -142,18 +141,18 @@ def _located(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
 def _shard(rows: list[tuple], cfg: RepeatConfig) -> pa.RecordBatch:
     """Compiles one shard's automaton and streams its segments through it."""
     number: dict[bytes, int] = {}
-    texts = [tuple([number.setdefault(x, len(number)) for x in row[5].split(b" ")]) for row in rows]
+    texts = [tuple([number.setdefault(x, len(number)) for x in row[6].split(b" ")]) for row in rows]
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
     for row, text in zip(rows, texts, strict=True):
-        automaton.add_word(text[row[4] : row[4] + cfg.phrase])
+        automaton.add_word(text[row[5] : row[5] + cfg.phrase])
     automaton.make_automaton()
-    earliest: dict[tuple, tuple[int, int]] = {}
-    found: list[tuple[int, tuple, tuple[int, int]]] = []
-    for i, ((_, doc_id, start, n, at, _), text) in enumerate(zip(rows, texts, strict=True)):
+    earliest: dict[tuple, tuple[int, int, int]] = {}
+    found: list[tuple[int, tuple, tuple[int, int, int]]] = []
+    for i, ((_, doc_id, digest, start, n, at, _), text) in enumerate(zip(rows, texts, strict=True)):
         for end, length in automaton.iter(text):
             if end - length + 1 == at:  # other phrases' windows come with their own segments
                 for k in range(n):
-                    window, place = text[k : k + cfg.window], (doc_id, start + k)
+                    window, place = text[k : k + cfg.window], (doc_id, digest, start + k)
                     if earliest.setdefault(window, place) > place:
                         earliest[window] = place
                     found.append((i, window, place))
@@ -161,8 +160,8 @@ def _shard(rows: list[tuple], cfg: RepeatConfig) -> pa.RecordBatch:
     first = [0] * len(rows)
     for i, window, place in found:
         if earliest[window] == place:
-            first[i] |= 1 << place[1] - rows[i][2]
-    return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([0] * len(rows), pa.int32()), pa.array(first, pa.int32())], names=["doc_id", "start", "n", "first"])
+            first[i] |= 1 << place[2] - rows[i][3]
+    return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int32()), pa.array([0] * len(rows), pa.int32()), pa.array(first, pa.int32())], names=["doc_id", "digest", "start", "n", "first"])
 
 
 def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.RecordBatch]:
@@ -205,19 +204,19 @@ def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
 def dedup(docs: DataFrame, cfg: RepeatConfig | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the kept words) of every row."""
     cfg = cfg or RepeatConfig()
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     found = runs(docs, cfg)
     recurring = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
     places = C.written(found.join(recurring, "h"), "repeats")
-    variants = places.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "start")).alias("f"))
+    variants = places.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "digest", "start")).alias("f"))
     frequent = variants.groupBy("h").agg((F.count(F.lit(1)) > cfg.hot).alias("hot"))
-    wanted = variants.join(frequent, "h").groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("f.start").alias("start"), "hot")).alias("wanted"))
+    wanted = variants.join(frequent, "h").groupBy(F.col("f.doc_id").alias("doc_id"), F.col("f.digest").alias("digest")).agg(F.collect_list(F.struct(F.col("f.start").alias("start"), "hot")).alias("wanted"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(lambda batches: _cut(batches, cfg), SEGMENT)
-    first = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _located(batches, cfg), "doc_id long, start int, n int, first int")
-    marks = places.select("doc_id", "start", "n", F.lit(0).alias("first")).unionByName(first)
-    by_doc = marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "first")).alias("marks"))
-    joined = docs.join(by_doc, "doc_id", "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<struct<start:int,n:int,first:int>>")).alias("marks"))
+    cut = docs.join(wanted, ["doc_id", "digest"]).select("doc_id", "digest", "text", "wanted").mapInArrow(lambda batches: _cut(batches, cfg), SEGMENT)
+    first = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _located(batches, cfg), "doc_id long, digest long, start int, n int, first int")
+    marks = places.select("doc_id", "digest", "start", "n", F.lit(0).alias("first")).unionByName(first)
+    by_doc = marks.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "n", "first")).alias("marks"))
+    joined = docs.join(by_doc, ["doc_id", "digest"], "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<struct<start:int,n:int,first:int>>")).alias("marks"))
     return joined.mapInArrow(lambda batches: _removed(batches, cfg), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 

@@ -66,6 +66,22 @@ def test_substrings(docs, empty):
     assert substrings.dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("cfg", [None, substrings.RepeatConfig(hot=1, shard=5)])
+def test_substrings_of_one_doc_id_with_different_texts(spark, cfg):
+    r = random.Random(4)
+    prose = lambda n: " ".join(f"v{r.randrange(10**6)}" for _ in range(n))
+    passage = prose(30)
+    texts = [prose(10) + " " + passage + " " + prose(20), prose(70), passage + " " + prose(40), prose(50)]
+    rows = [(i, t) for i in (None, 7) for t in ([*texts] if i is None else [prose(60), prose(5) + " " + passage, prose(60)])]
+    docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string")
+    got = substrings.dedup(docs, cfg).collect()
+    # all but one place of the passage go, whole, and nothing else
+    kept = Counter(x["kept"] for x in got)
+    assert len(got) == 8 and sum(x["n_removed"] for x in got) == 60
+    assert all(kept[t] == (2 if t == rows[1][1] else 1) for _, t in rows if passage not in t)
+    assert sum(passage in x["kept"] for x in got) == 1 and [x["doc_id"] for x in got if passage in x["kept"]] == [None]
+
+
 def test_substrings_by_window_for_frequent_phrases(docs):
     cfg = substrings.RepeatConfig(hot=1, shard=5)
     a, b = (sorted((r["doc_id"], r["kept_sha256"]) for r in substrings.dedup(docs, c).collect()) for c in (cfg, None))

@@ -210,7 +210,7 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     ranked = bucketed.join(near, "rep").select("key", "rep", "near")
     members = C.written(ranked.join(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "key"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text"), "texts")
+    texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]), "texts")
     sig = reps.select("rep", "sig")
     # round 1: one document of each bucket leads
     pairs = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
@@ -274,8 +274,8 @@ def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConf
     ids = active.select("rep", "comp").distinct()
     rows = texts.join(ids, "rep").select("rep", "text").mapInArrow(run, "rep long, shingle long")
     # one more than `rare` of a shingle's documents tell that it is common; Spark drops others before the shuffle
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("shingle").orderBy("rep"))).where(F.col("n") <= cfg.rare + 1)
-    lists = C.checkpoint(first.groupBy("shingle").agg(F.sort_array(F.collect_list("rep")).alias("reps")).where(F.size("reps") <= cfg.rare).select("reps"))
+    first = rows.withColumn("n", F.dense_rank().over(Window.partitionBy("shingle").orderBy("rep"))).where(F.col("n") <= cfg.rare + 1)
+    lists = C.checkpoint(first.groupBy("shingle").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where(F.size("reps") <= cfg.rare).select("reps"))
     each = lists.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))
     bound = ids.join(reps.select("rep", "size", "parity"), "rep").join(each, "rep", "left").select("rep", "comp", "size", "parity", F.coalesce("rare", F.lit(0)).alias("rare"))
     bound = C.checkpoint(bound.withColumn("done", (F.col("size") - F.col("rare")) * 100 < F.col("size") * cfg.percent))

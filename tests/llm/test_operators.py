@@ -355,6 +355,15 @@ def test_minhash_rare_shingles(spark, copies):
     assert got == {i: 0 if not i else (i - 1) // copies * copies + 1 for i in range(len(rows))}
 
 
+def test_minhash_rare_shingles_of_repeated_rows(spark):
+    active = spark.createDataFrame([(i, i) for i in range(12)], "rep long, comp long")
+    base = [f"w{i}" for i in range(100)]
+    texts = [(i, " ".join([*base, *(f"own{i}x{k}" for k in range(12))])) for i in range(12)]
+    reps = spark.createDataFrame([(i, 110, [0]) for i in range(12)], "rep long, size long, parity array<long>")
+    once, again = (minhash._rare(active, spark.createDataFrame(t, "rep long, text string"), reps, minhash.QUERY)[0].select("rep", "rare", "done").collect() for t in (texts, [*texts, *texts[:1] * 2]))
+    assert sorted(once) == sorted(again) and {(r["rare"], r["done"]) for r in once} == {(12, False)}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 7), (50, 51), (51, 50), (60, 60)], "a long, b long")
     got = {r["node"]: r["comp"] for r in minhash.components(chain).collect()}

@@ -129,8 +129,7 @@ _ALL = ["floor_type", "view_type", "phase", "building", "has_garden", "is_ground
 
 
 def _signalled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view's titles are ASCII, so they are in NFKC already."""
-    return resolve.with_signals(lv.latest(spark, sf_dir), compose=False)
+    return resolve.with_signals(lv.latest(spark, sf_dir))
 
 
 @query(f"WITH {lv.LATEST_SQL}, {_SIGNALS} SELECT floor_type, view_type, phase, building, has_garden, is_ground, count(*) AS n FROM s GROUP BY ALL")
@@ -250,7 +249,7 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = rows.withColumn(c, F.lit(v).cast("string"))
     rows = rows.withColumn("url", F.concat(F.lit("http://x/"), "external_id")).withColumn("days_on_market", F.lit(14)).withColumn("is_outlier", F.lit(False))
     rows = rows.withColumn("price_egp", F.lit(None).cast("double")).withColumn("price_per_m2", F.lit(None).cast("double")).withColumn("neighbourhood_avg_price_per_m2", F.lit(None).cast("double"))
-    return rows.select("external_id", documents.document(compose=False).alias("document"))
+    return rows.select("external_id", documents.document().alias("document"))
 
 
 @query("SELECT o_orderkey AS property_id FROM orders WHERE NOT (o_orderkey % 3 = 0) OR (o_orderkey % 5 - 2) < 0")

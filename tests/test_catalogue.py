@@ -32,6 +32,13 @@ def test_against_sql(spark, db, name):
     assert got == sorted(repr(tuple(x[i] for i in at)) for x in wanted.fetchall())
 
 
+def test_signals_compose_titles(spark, monkeypatch):
+    latest = catalogue.lv.latest
+    monkeypatch.setattr(catalogue.lv, "latest", lambda s, d: latest(s, d).limit(1).selectExpr("* EXCEPT (title)", "'Ｂ１２ ｇａｒｄｅｎ' AS title"))
+    row = catalogue.title_signals(spark, str(SF)).first()
+    assert (row["building"], row["has_garden"]) == ("B12", True)
+
+
 def test_entry(spark):
     import __spark_entry__
 

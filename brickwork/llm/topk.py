@@ -9,7 +9,7 @@ covered so; the others widen their radius.
 Equal codes are one entry with the k least ids, which is all that a top-k with ties by id can use.
 Defined results: null vectors and ids are left out; a null component is 0; vectors of different
 lengths are filled with zero bits; ties go to the smaller id; a query is its own nearest row; with
-fewer than k rows all are returned; repeated rows are found each; an empty table gives no rows.
+fewer than k rows all are returned; vectors of over 64 dimensions raise; repeated rows are found each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ class SearchConfig:
 
 
 def code(vector: str) -> Column:
-    """The first 64 signs as a long, bit i for dimension i."""
-    bit = F.transform(F.slice(vector, 1, BITS), lambda x: F.when(x > 0, 1).otherwise(0).cast("long"))
+    """The signs as a long, bit i for dimension i; longer vectors raise."""
+    whole = F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"vectors of over {BITS} dimensions are not searched")).cast("array<double>")).otherwise(F.col(vector))
+    bit = F.transform(whole, lambda x: F.when(x > 0, 1).otherwise(0).cast("long"))
     return F.aggregate(F.reverse(bit), F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 

@@ -105,6 +105,12 @@ def test_topk(spark):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_raises_on_longer_vectors(spark):
+    df = spark.createDataFrame([(i, [1.0] * 64 + [float(i)]) for i in range(3)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="over 64 dimensions"):
+        topk.search(df, df)
+
+
 def test_packing(docs, empty):
     cfg = packing.PackConfig(capacity=256, block=64)
     tokenizer = packing.Encoder(cfg.path()).tokenizer

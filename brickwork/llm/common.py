@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy step holds. The working arrays are about 50 times this.
 SLICE_BYTES = 1 << 20
+#: Bytes of one Arrow batch between Spark and Python, where the session allows more; a longer row is a batch alone.
+BATCH_BYTES = 4 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -23,11 +26,13 @@ _POWERS = np.ones(1, U64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (tests) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only in local mode (tests) one of our own."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir")
     if not found:
         existing = sc._jsc.sc().getCheckpointDir()
+        if not existing.isDefined() and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = existing.get() if existing.isDefined() else "file://" + tempfile.mkdtemp(prefix="shared")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(found)
@@ -51,6 +56,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that df hasn't got."""
+    taken = {c.lower() for c in df.columns}
+    while f"__{name}" in taken:
+        name += "_"
+    return f"__{name}"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, whose session from now on passes rows to Python in batches of at most BATCH_BYTES."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows of at most so many bytes of text, or one row."""
     for batch in batches:
@@ -80,17 +99,48 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends - ends[0]
 
 
+_SPACES = re.compile(rb"[\x20\x09-\x0D]")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]")
+
+
+def runs(column: pa.Array, after: int = 0, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The column itself; one row of more than limit bytes as runs of whole words, one array each.
+
+    Each run but the last ends with the `after` words that the next one begins with, so sequences of
+    up to after + 1 words are whole in one run, and each lies in one alone. A word alone may be over the limit.
+    """
+    data, ends = column_bytes(column)
+    if len(column) != 1 or len(data) <= limit:
+        yield column
+        return
+    raw, at, n = memoryview(data), 0, len(data)
+    more = re.compile(rb"(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){0,%d}" % after)
+    while True:
+        edge = _SPACES.search(raw, min(at + limit, n))
+        end = edge.start() if edge else n
+        to = more.match(raw, end).end()
+        last = not _WORD.search(raw, to)
+        yield pa.array([bytes(raw[at : n if last else to])], pa.binary())
+        if last:
+            return
+        at = end
+
+
 def strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
 def powers(n: int) -> np.ndarray:
     global _POWERS
-    if len(_POWERS) < n:
-        more = np.full(max(n, SLICE_BYTES + 1), _BASE, U64)
-        more[0] = 1
-        _POWERS = np.multiply.accumulate(more)
-    return _POWERS[:n]
+    if len(_POWERS) < min(n, SLICE_BYTES + 1):
+        _POWERS = _accumulated(SLICE_BYTES + 1, _BASE)
+    return _POWERS[:n] if n <= len(_POWERS) else _accumulated(n, _BASE)  # what is kept stays small
+
+
+def _accumulated(n: int, base: int) -> np.ndarray:
+    more = np.full(n, base, U64)
+    more[0] = 1
+    return np.multiply.accumulate(more)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -110,11 +160,9 @@ _INVERSES = np.ones(1, U64)
 
 def inverses(n: int) -> np.ndarray:
     global _INVERSES
-    if len(_INVERSES) < n:
-        more = np.full(max(n, SLICE_BYTES + 1), _INVERSE, U64)
-        more[0] = 1
-        _INVERSES = np.multiply.accumulate(more)
-    return _INVERSES[:n]
+    if len(_INVERSES) < min(n, SLICE_BYTES + 1):
+        _INVERSES = _accumulated(SLICE_BYTES + 1, _INVERSE)
+    return _INVERSES[:n] if n <= len(_INVERSES) else _accumulated(n, _INVERSE)
 
 
 class Words:

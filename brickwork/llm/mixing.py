@@ -1,13 +1,19 @@
 """Mixing sources to target weights by entropy balancing.
 
 A document's rate is exp(lambda * size / mean size of its source), at most MOST; the dual variable of
-each source's token constraint is found by Newton steps, whose sums Spark takes over the counts of
-equal sizes. The rates are then rounded to whole copies: in blocks of a source, large documents
-first, each document takes on what rounding has left over so far.
-
-Defined results: a null text has size 0; documents of size 0 are taken as their rate of 1 rounds,
-with no words; a null source is a source of its own, last in order; sources without words have
-target 0; rows that repeat are documents each; an empty table gives no rows.
+each source's token constraint is found by Newton steps, held between bisection bounds, whose sums
+Spark takes over the counts of equal sizes. Documents of one source and size have one rate, and so are
+a class: from large sizes to small, each class gets a whole number of copies, and takes on what rounding
+has left over so far. Inside a class the first documents, by doc_id and text, get one copy more than the
+others. Classes of over `block` documents are dealt by hash into parts that round apart (each is off by
+less than one document).
+
+Defined results: a null text has size 0; documents of size 0 are taken once each, with no words; a null
+source is a source of its own, last in order; sources without words have target 0; rows that repeat
+and rows without doc_id are documents each; further columns are kept by `mix`, whatever their names; an
+empty table gives no rows. One row a source (and a row a source and size of its open ones to each Newton
+step's sums) is planned with; a source's classes, at most as many as its largest document has words, are
+rounded in one task.
 """
 
 from __future__ import annotations
@@ -15,17 +21,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brickwork.llm import common as C
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
-#: A list of so many sources is small enough to broadcast: under 20 MB.
+#: A list of so many sources, or classes, is small enough to broadcast: under 20 MB.
 BROADCAST_SOURCES = 200_000
 
 
@@ -33,7 +37,8 @@ BROADCAST_SOURCES = 200_000
 class MixConfig:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     block: int = 2000
-    steps: int = 40
+    #: Newton steps and bisections that a balance may take; more raise.
+    steps: int = 200
     tolerance: float = 1e-7
 
 
@@ -51,10 +56,9 @@ def targets(sizes: list[int], weights: tuple[float, ...]) -> list[float]:
         full = [f or a for f, a in zip(full, above, strict=True)]
 
 
-def _plan(sized: DataFrame, cfg: MixConfig) -> list[tuple]:
-    """(source, source_size, target, mean, lambda, blocks) of each source. One row a source comes to the driver."""
-    equal = C.checkpoint(sized.groupBy("source", "__size").agg(F.count(F.lit(1)).alias("n")))
-    found = equal.groupBy("source").agg(F.sum(F.col("__size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
+def _plan(equal: DataFrame, cfg: MixConfig) -> list[tuple]:
+    """(source, source_size, target, mean, lambda, number) of each source of (source, size, n). One row a source comes to the driver."""
+    found = equal.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [int(r["size"]) for r in found]
     goal = targets(sizes, cfg.weights) if found else []
@@ -63,13 +67,14 @@ def _plan(sized: DataFrame, cfg: MixConfig) -> list[tuple]:
     low: list[float | None] = [None] * len(found)
     high: list[float | None] = [None] * len(found)
     open_ = {i for i in range(len(found)) if sizes[i] and goal[i] < MOST * sizes[i]}
-    for _ in range(cfg.steps):
-        if not open_:
-            break
-        now = sized.sparkSession.createDataFrame([(found[i]["source"], mean[i], dual[i], i) for i in sorted(open_)], "s string, mean double, dual double, i int")
-        z = F.col("__size") / F.col("mean")
+    steps = 0
+    while open_:
+        if (steps := steps + 1) > cfg.steps:
+            raise ArithmeticError(f"{len(open_)} sources are not balanced after {cfg.steps} steps")
+        now = equal.sparkSession.createDataFrame([(found[i]["source"], mean[i], dual[i], i) for i in sorted(open_)], "s string, mean double, dual double, i int")
+        z = F.col("size") / F.col("mean")
         rate = F.exp(F.least(F.col("dual") * z, F.lit(50.0)))
-        words = F.col("__size") * F.col("n")
+        words = F.col("size") * F.col("n")
         joined = equal.join(F.broadcast(now) if len(open_) <= BROADCAST_SOURCES else now, equal["source"].eqNullSafe(now["s"]))
         sums = joined.groupBy("i").agg(F.sum(words * F.least(rate, F.lit(float(MOST)))).alias("f"), F.sum(F.when(rate < MOST, words * z * rate).otherwise(0.0)).alias("d"))
         for r in sums.collect():
@@ -87,53 +92,74 @@ def _plan(sized: DataFrame, cfg: MixConfig) -> list[tuple]:
             if low[i] is not None and high[i] is not None and not low[i] < to < high[i]:
                 to = (low[i] + high[i]) / 2
             dual[i] = to
-    return [(r["source"], sizes[i], goal[i], mean[i], dual[i], i, -(-r["n"] // cfg.block)) for i, r in enumerate(found)]
+    return [(r["source"], sizes[i], goal[i], mean[i], dual[i], i) for i, r in enumerate(found)]
 
 
-def rated(docs: DataFrame, cfg: MixConfig | None = None, lean: bool = False) -> DataFrame:
-    """docs with __size, __source_size, __target, __rate and __copies; lean: without their text."""
-    cfg = cfg or MixConfig()
-    sized = docs.withColumn("__size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    if lean:
-        sized = sized.drop("text")
-    plan = _plan(sized.select("source", "__size"), cfg)
-    kind = "__s string, __source_size long, __target double, __mean double, __dual double, __i int, __blocks long"
-    by_source = docs.sparkSession.createDataFrame(plan, kind)
-    joined = sized.join(F.broadcast(by_source) if len(plan) <= BROADCAST_SOURCES else by_source, sized["source"].eqNullSafe(by_source["__s"]))
-    full = F.col("__target") >= MOST * F.col("__source_size")
-    rate = F.when((F.col("__size") > 0) & full, float(MOST)).otherwise(F.least(F.exp(F.least(F.col("__dual") * F.col("__size") / F.col("__mean"), F.lit(50.0))), F.lit(float(MOST))))
-    rows = joined.withColumn("__rate", rate).withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.col("__blocks"))).drop("__s", "__mean", "__dual", "__blocks")
-    kept = [c for c in rows.columns if c not in ("__i", "__block")]
-    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField("__copies", T.IntegerType())])
+CLASS = "s string, z long, n long, k long, source_size long, target double, rate double"
+
+
+def _classes(sized: DataFrame, cfg: MixConfig) -> DataFrame:
+    """CLASS of each source and size of (source, size): its n documents, their k copies together, the source's plan and the rate."""
+    equal = C.checkpoint(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    plan = _plan(equal, cfg)
+    by_source = equal.sparkSession.createDataFrame(plan, "s string, source_size long, target double, mean double, dual double, i int")
+    joined = equal.join(F.broadcast(by_source) if len(plan) <= BROADCAST_SOURCES else by_source, equal["source"].eqNullSafe(by_source["s"]))
+    full = F.col("target") >= MOST * F.col("source_size")
+    rate = F.when((F.col("size") > 0) & full, float(MOST)).otherwise(F.least(F.exp(F.least(F.col("dual") * F.col("size") / F.col("mean"), F.lit(50.0))), F.lit(float(MOST))))
+    rows = joined.select("s", F.col("size").alias("z"), "n", "source_size", "target", rate.alias("rate"), "i")
 
     def round_up(t: pa.Table) -> pa.Table:
-        return t.select(kept).append_column("__copies", pa.array(copies(np.asarray(t["__size"]), np.asarray(t["__rate"]), t["doc_id"].to_pylist()), pa.int32()))
+        t = t.sort_by([("z", "descending")])
+        k = copies(t["z"].to_pylist(), t["n"].to_pylist(), t["rate"].to_pylist())
+        return t.drop_columns(["i"]).append_column("k", pa.array(k, pa.int64())).select([x.split()[0] for x in CLASS.split(", ")])
 
-    return rows.groupBy("__i", "__block").applyInArrow(round_up, schema)
+    return C.checkpoint(rows.groupBy("i").applyInArrow(round_up, CLASS))
 
 
-def copies(sizes: np.ndarray, rates: np.ndarray, ids: list) -> np.ndarray:
-    """Whole copies; what rounding leaves over goes to the next smaller document."""
-    out = np.zeros(len(sizes), np.int32)
-    over = 0.0
-    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], ids[k] is None, ids[k])):
-        size = float(sizes[k])
+def copies(sizes: list[int], counts: list[int], rates: list[float]) -> list[int]:
+    """Whole copies of each class, sizes descending; what rounding leaves over goes to the next one."""
+    out, over = [], 0.0
+    for size, n, rate in zip(sizes, counts, rates, strict=True):
         if size:
-            want = rates[k] * size + over
-            n = min(MOST, max(0, math.floor(want / size + 0.5)))
-            over = want - n * size
+            want = rate * size * n + over
+            out.append(min(MOST * n, max(0, math.floor(want / size + 0.5))))
+            over = want - out[-1] * size
         else:
-            n = 1
-        out[k] = n
+            out.append(n)
     return out
 
 
+def rated(docs: DataFrame, cfg: MixConfig | None = None, lean: bool = False) -> DataFrame:
+    """docs and a last column, a struct of size, source_size, target, rate and copies; lean: without their text."""
+    cfg = cfg or MixConfig()
+    size, digest, part, mixed = (C.unused(x, docs) for x in ("size", "digest", "part", "mix"))
+    sized = docs.withColumn(size, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn(digest, F.xxhash64("text"))
+    if lean:
+        sized = sized.drop("text")
+    classes = _classes(sized.select("source", F.col(size).alias("size")), cfg)
+    c = classes.select([F.col(x).alias(f"{mixed}_{x}") for x in classes.columns])
+    s, z, n, k, source_size, target, rate = (c[x] for x in c.columns)
+    joined = sized.join(F.broadcast(c) if classes.count() <= BROADCAST_SOURCES else c, sized["source"].eqNullSafe(s) & (sized[size] == z))
+    parts = F.ceil(n / cfg.block)
+    rows = joined.withColumn(part, F.pmod(F.xxhash64("doc_id", digest), parts))
+    w = Window.partitionBy(s, z, part)
+    own = F.count(F.lit(1)).over(w)
+    # a class of one part has its copies as they are; the parts of others round by shifted thresholds, which cancel out
+    share = F.when(parts == 1, k).otherwise(F.floor(own * k / n + (F.col(part) + 0.5) / parts))
+    first = F.row_number().over(w.orderBy("doc_id", digest)) <= F.pmod(share, own)
+    taken = F.least(F.floor(share / own) + first.cast("int"), F.lit(MOST)).cast("int")
+    found = F.struct(F.col(size).alias("size"), source_size.alias("source_size"), target.alias("target"), rate.alias("rate"), taken.alias("copies"))
+    return rows.withColumn(mixed, found).select(*[F.col(x) for x in docs.columns if not (lean and x == "text")], mixed)
+
+
 def mix(docs: DataFrame, cfg: MixConfig | None = None) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it."""
-    return rated(docs, cfg).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    rows = rated(docs, cfg)
+    mixed, copy = rows.columns[-1], C.unused("copy", rows)
+    return rows.where(F.col(mixed)["copies"] > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(mixed)["copies"]))).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rated(C.table(spark, sf_dir, "documents").select("doc_id", "text", "source"), lean=True)
-    return rows.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).cast("long").alias("taken"), F.col("__rate").alias("rate"))
-
+    m = F.col(rows.columns[-1])
+    return rows.select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"), (m["size"] * m["copies"]).cast("long").alias("taken"), m["rate"].alias("rate"))

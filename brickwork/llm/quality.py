@@ -3,11 +3,14 @@
 Learned filters of WIDTH bytes slide over the whole document. Their responses are max-pooled over
 overlapping chunks; the chunks' mean and maximum are combined into one probability. The network
 sees bytes only. It learns from at most `rows` labelled rows, the least by a hash of doc_id among
-those whose crc32 modulo 4 is not 2, so the sample is the same each time.
+those whose crc32 modulo 4 is not 2, so the sample is the same each time; of these, texts of over
+`longest` bytes are not learnt from. Every text is scored whole, a long one run by run.
 
 Defined results: a null text is empty, and an empty one is a document of padding with its own
 score; labels of unknown documents and labels that are null are not learnt from; of several labels
-of one document the least counts; without labels every score is 0.5; repeated rows are scored each.
+of one document the least counts; without labels to learn from every score is 0.5, and `keep` rejects
+nothing; repeated rows are scored each, and rows without doc_id too; an empty table gives no rows;
+further columns are kept by `keep` and ignored by `classify`, a `__score` among them too.
 """
 
 from __future__ import annotations
@@ -24,12 +27,15 @@ from brickwork.llm import common as C
 
 WIDTH = 4
 BLOCK = 32  # a chunk is two neighbouring blocks, so chunks overlap by half
+#: Bytes whose responses, and whose chunks, are held at once.
+STEP, RUN = 1 << 16, 1 << 20
 
 
 @dataclass(frozen=True)
 class QualityConfig:
-    #: Bound of the sample that the network learns from.
+    #: Bounds of the sample that the network learns from: so many rows, of texts of at most so many bytes.
     rows: int = 1600
+    longest: int = 1 << 16
     filters: int = 16
     epochs: int = 8
     rate: float = 0.02
@@ -45,6 +51,7 @@ class Network:
     mean: np.ndarray
     most: np.ndarray
     offset: float
+    learnt: bool = True
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The filters' responses to two bytes at a time."""
@@ -53,10 +60,13 @@ class Network:
 
 
 def padded(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The documents one after the other, each filled with zeros to whole blocks, and at least WIDTH of them; blocks of each."""
+    """The documents one after the other, each between WIDTH zeros at least, in whole blocks; blocks of each.
+
+    The zeros on both sides keep a document's responses from its neighbours' bytes.
+    """
     length = np.diff(ends)
-    blocks = -(-(length + WIDTH) // BLOCK)
-    start = (np.cumsum(blocks) - blocks) * BLOCK
+    blocks = -(-(length + 2 * WIDTH) // BLOCK)
+    start = (np.cumsum(blocks) - blocks) * BLOCK + WIDTH
     out = np.zeros(int(blocks.sum()) * BLOCK + WIDTH, np.uint8)
     out[np.arange(len(data)) + np.repeat(start - ends[:-1], length)] = data
     return out, blocks
@@ -80,13 +90,42 @@ def chunks(most: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.where(second, after, most), second
 
 
+def block_maxima(x: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The filters' maxima by block, in steps of STEP bytes: a long text's responses are never held whole."""
+    n = len(x) - WIDTH
+    return np.concatenate([responses(x[at : min(at + STEP, n) + WIDTH], pairs).max(1) for at in range(0, n, STEP)])
+
+
 def scores(net: Network, pairs: tuple[np.ndarray, np.ndarray], data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The probabilities of a slice of texts, or of one long text of which no more than RUN bytes are pooled at once."""
+    if len(ends) == 2 and len(data) > RUN:
+        return _long_score(net, pairs, data)
     x, blocks = padded(data, ends)
-    pooled, _ = chunks(responses(x, pairs).max(1), blocks)
+    pooled, _ = chunks(block_maxima(x, pairs), blocks)
     pooled = np.maximum(pooled + net.bias, 0)
     start = np.cumsum(blocks) - blocks
-    mean = np.add.reduceat(pooled, start) / blocks[:, None]
-    return 1 / (1 + np.exp(-np.clip(mean @ net.mean + np.maximum.reduceat(pooled, start) @ net.most + net.offset, -30, 30)))
+    return _probability(net, np.add.reduceat(pooled, start) / blocks[:, None], np.maximum.reduceat(pooled, start))
+
+
+def _probability(net: Network, mean: np.ndarray, most: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(mean @ net.mean + most @ net.most + net.offset, -30, 30)))
+
+
+def _long_score(net: Network, pairs: tuple[np.ndarray, np.ndarray], data: np.ndarray) -> np.ndarray:
+    """The probability of one text: its chunks' sum and maximum, gathered run by run."""
+    blocks = -(-(len(data) + 2 * WIDTH) // BLOCK)
+    per = RUN // BLOCK
+    total, most = np.zeros(net.bias.shape), np.zeros(net.bias.shape)
+    for at in range(0, blocks, per):
+        to = min(at + per + 1, blocks)  # and the block that the run's last chunk ends with
+        x = np.zeros((to - at) * BLOCK + WIDTH, np.uint8)
+        before = 0 if at else WIDTH
+        own = data[max(at * BLOCK - WIDTH, 0) : to * BLOCK]
+        x[before : before + len(own)] = own
+        pooled, _ = chunks(block_maxima(x, pairs), np.array([to - at]))
+        pooled = np.maximum(pooled[:per] + net.bias, 0)
+        total, most = total + pooled.sum(0), np.maximum(most, pooled.max(0))
+    return _probability(net, total[None] / blocks, most[None])
 
 
 def train(texts: list[bytes], labels: np.ndarray, cfg: QualityConfig) -> Network:
@@ -96,6 +135,7 @@ def train(texts: list[bytes], labels: np.ndarray, cfg: QualityConfig) -> Network
     if not len(texts):
         net.mean[:] = 0
         net.most[:] = 0
+        net.learnt = False
         return net
     names = ("table", "bias", "mean", "most", "offset")
     first = {k: np.zeros_like(getattr(net, k)) for k in names}
@@ -147,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> Network:
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("__label"))
     known = known.where(remainder("doc_id", 4) != 2).withColumn("__order", F.xxhash64("doc_id", F.lit(cfg.seed))).orderBy("__order", "doc_id").limit(cfg.rows)
     # limit() is the documented bound of the sample: cfg.rows ids, then their texts
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("__label").alias("label"), F.min("__order").alias("order"))
+    rows = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= cfg.longest).join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("__label").alias("label"), F.min("__order").alias("order"))
     found = sorted(rows.collect(), key=lambda r: (r["order"], r["doc_id"]))
     return train([r["text"].encode() for r in found], np.array([r["label"] for r in found], float), cfg)
 
@@ -164,7 +204,7 @@ def score(docs: DataFrame, net: Network, name: str = "score") -> DataFrame:
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return C.bounded(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:
@@ -178,7 +218,10 @@ def keep(docs: DataFrame, labels: DataFrame, cfg: QualityConfig | None = None) -
     """The rows of docs that the classifier does not reject."""
     cfg = cfg or QualityConfig()
     net = learn(docs, labels, cfg)
-    return score(docs, net, "__score").where(F.col("__score") >= cfg.threshold).drop("__score")
+    if not net.learnt:
+        return docs
+    own = C.unused("score", docs)
+    return score(docs, net, own).where(F.col(own) >= cfg.threshold).drop(own)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

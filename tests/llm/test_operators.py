@@ -386,25 +386,63 @@ def test_quality(spark, docs, empty):
     held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert all(got[i]["held_out"] == (i in set(held)) for i in got)
     assert sum(got[i]["predicted"] == (i < 150) for i in held) >= 0.97 * len(held)
-    assert quality.keep(docs, labels.limit(0)).count() == 0 and quality.classify(docs, labels.limit(0)).where("score = 0.5").count() == len(TEXTS)
+    assert quality.keep(docs, labels.limit(0)).count() == len(TEXTS) and quality.classify(docs, labels.limit(0)).where("score = 0.5").count() == len(TEXTS)
     assert quality.classify(empty, labels).count() == 0 and quality.keep(docs, labels).columns == docs.columns
 
 
+def test_quality_against_a_slow_convolution(monkeypatch):
+    """Every chunk's maxima byte by byte, for short texts, neighbours and a long text in runs."""
+    net = quality.train([], np.zeros(0), quality.QualityConfig())
+    r = np.random.default_rng(4)
+    net.mean, net.most = r.normal(size=16), r.normal(size=16)
+    texts = [b"", b"a", b"abc" * 9, bytes(r.integers(32, 127, 64).tolist()), bytes(r.integers(32, 127, 1000).tolist())]
+
+    def slow(text):
+        x = [0] * quality.WIDTH + list(text)
+        x += [0] * (-len(x) % quality.BLOCK if -len(x) % quality.BLOCK >= quality.WIDTH else -len(x) % quality.BLOCK + quality.BLOCK)
+        at = lambda p: net.bias + sum(net.table[k][x[p + k] if p + k < len(x) else 0] for k in range(quality.WIDTH))
+        chunk = [np.maximum(0, np.max([at(p) for p in range(b, min(b + 2 * quality.BLOCK, len(x)))], axis=0)) for b in range(0, len(x), quality.BLOCK)]
+        return 1 / (1 + math.exp(-(np.mean(chunk, axis=0) @ net.mean + np.max(chunk, axis=0) @ net.most + net.offset)))
+
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = quality.scores(net, net.pairs(), np.frombuffer(b"".join(texts), np.uint8), ends)
+    assert got == pytest.approx([slow(t) for t in texts], abs=1e-5)
+    monkeypatch.setattr(quality, "RUN", 128)
+    monkeypatch.setattr(quality, "STEP", 64)
+    alone = [quality.scores(net, net.pairs(), np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    assert alone == pytest.approx(got, abs=1e-5)
+
+
 def test_mixing(docs, empty):
     assert mixing.targets([100, 100, 100], (5, 2, 1)) == pytest.approx([187.5, 75, 37.5])
     assert mixing.targets([10, 100, 1000], (5, 2, 1)) == pytest.approx([30, 300, 780])
     rows = mixing.rated(docs).collect()
-    again = {r["doc_id"]: r["__copies"] for r in mixing.rated(docs.repartition(3)).collect()}
+    again = {r["doc_id"]: r["__mix"]["copies"] for r in mixing.rated(docs.repartition(3)).collect()}
     taken, goal = Counter(), {}
     for r in rows:
-        assert r["__size"] == len(WORD.findall(TEXTS[r["doc_id"]] or "")) and 0 <= r["__copies"] <= 3 and again[r["doc_id"]] == r["__copies"]
-        taken[r["source"]] += r["__size"] * r["__copies"]
-        goal[r["source"]] = r["__target"]
+        m = r["__mix"]
+        assert m["size"] == len(WORD.findall(TEXTS[r["doc_id"]] or "")) and 0 <= m["copies"] <= 3 and again[r["doc_id"]] == m["copies"]
+        taken[r["source"]] += m["size"] * m["copies"]
+        goal[r["source"]] = m["target"]
     assert all(abs(taken[s] - goal[s]) < 60 for s in goal)
     assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).count() == sum(again.values())
     assert mixing.rated(empty).count() == 0
 
 
+def test_mixing_of_large_classes_and_clashing_names(spark):
+    """One class in many parts, rows without doc_id, and columns named like the operator's own."""
+    rows = [(None if i % 3 else i, f"w{i} x y", "a" if i < 900 else "b", 1, 2, 3) for i in range(1000)] + [(5, "same words here", "b", 1, 2, 3)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __size long, __mix long, __copy long").repartition(4)
+    cfg = mixing.MixConfig(block=50)
+    got = mixing.rated(docs, cfg).collect()
+    goal = dict(zip("ab", mixing.targets([2700, 420], cfg.weights), strict=True))
+    for s in "ab":
+        taken = sum(r["__mix_"]["size"] * r["__mix_"]["copies"] for r in got if r["source"] == s)
+        assert abs(taken - goal[s]) <= 3 * 9  # at most half a document off in each of the parts
+    mixed = mixing.mix(docs, cfg)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r["__mix_"]["copies"] for r in got)
+
+
 def test_pipeline(spark, tmp_path, docs):
     import corpus_pipeline
 

@@ -18,11 +18,15 @@ inside a component are made, and none is left out: a bucket of any size is done
 agree in `agree` of the places, then if the sets of their whole texts reach the similarity.
 Components grow by alternating large-star and small-star.
 
-With 24 bands of 5 rows, a pair of similarity 0.85 shares no band with probability under 1e-6.
+With 24 bands of 5 rows, a pair of similarity 0.85 shares no band with probability under 1e-6. Sets are
+of 64-bit shingle hashes, equal sets are told by 128 bits: two of n different shingles of the corpus
+share a hash with probability under n^2 / 2^65, and a link's test is then off by one shingle.
 
 Defined results: null and empty texts, or texts without words, have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one shingle; repeated rows
-have equal sets and so one component; rows of one doc_id with different texts count as linked. Rows
+have equal sets and so one component; rows of one doc_id with different texts are one document, whose
+least text `keep` keeps; further columns are kept by `keep`, whatever their names, and ignored by
+`linked`; an empty table gives no rows; long texts are hashed in runs that share words - 1 words. Rows
 without doc_id are told apart by their texts and linked like all others: each text has a number from
 2^62 on for an id, which is its component_id if no row of a lesser id is linked.
 """
@@ -83,7 +87,9 @@ def shingles(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sets(column: pa.Array, words: int) -> list[np.ndarray]:
-    """The sorted distinct shingles of each document."""
+    """The sorted distinct shingles of each document; one long text goes run by run."""
+    if len(parts := list(C.runs(column, words - 1))) > 1:
+        return [np.unique(np.concatenate([np.unique(shingles(x, words)[0]) for x in parts]))]
     found, each = shingles(column, words)
     ends = np.cumsum(each)
     return [np.unique(found[e - n : e]) for e, n in zip(ends.tolist(), each.tolist(), strict=True)]
@@ -134,7 +140,7 @@ def signatures(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
                 sig[d] = marks[i].tobytes()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("id"), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)), C.rows_list(counts, keys.view(np.int64).ravel(), pa.int64()), pa.array(sig, pa.binary()), C.rows_list(np.where(n > 0, PARITY_WORDS, 0), parity.view(np.int64).ravel(), pa.int64())], names=["doc_id", "id", "n_shingles", "fp1", "fp2", "bands", "sig", "parity"])
 
-    return docs.select("doc_id", row_id().alias("id"), "text").mapInArrow(run, "doc_id long, id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary, parity array<long>")
+    return C.bounded(docs).select("doc_id", row_id().alias("id"), "text").mapInArrow(run, "doc_id long, id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary, parity array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,13 +208,15 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     made = C.written(signatures(docs, cfg), "signatures")
     full = made.where("n_shingles > 0")
     reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n_shingles").alias("size")), "representatives")
+    # what is known of each key is written before it is joined: a join of two tables can be split at a hot key, one with an aggregate can't
     keyed = reps.select("rep", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = C.written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
     bucketed = C.written(keyed.join(shared, "key"), "buckets")
     # an original shares more with its copies than they with each other: it has most neighbours, and leads
     near = bucketed.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("near"))
-    ranked = bucketed.join(near, "rep").select("key", "rep", "near")
-    members = C.written(ranked.join(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "key"), "members")
+    ranked = C.written(bucketed.join(near, "rep").select("key", "rep", "near"), "ranked")
+    leaders = C.written(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "leaders")
+    members = C.written(ranked.join(leaders, "key"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]), "texts")
     sig = reps.select("rep", "sig")
@@ -219,6 +227,7 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     for k in _counts(cfg):
         now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
         # anew each round: fewer documents are active, so that more shingles are rare
+        now = C.checkpoint(now)
         open_ = C.checkpoint(_mixed(now))
         if open_.isEmpty():
             break
@@ -227,7 +236,7 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
         if not by_rare.isEmpty():
             comp = _joined(comp, by_rare)
             now = rest.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("key", "rep", "near", F.coalesce("comp", "rep").alias("comp"))
-        marked = now.join(bound.where(~F.col("done")), "rep").withColumn("h", F.xxhash64("rep", F.lit(k)))
+        marked = C.checkpoint(now.join(bound.where(~F.col("done")), "rep").withColumn("h", F.xxhash64("rep", F.lit(k))))
         active = C.checkpoint(_mixed(marked))
         if active.isEmpty():
             break
@@ -255,7 +264,7 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of buckets with several components, with the bucket's size and its document of most neighbours."""
     several = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.max_by("rep", F.struct("near", -F.col("rep"))).alias("top")).where("low < high").select("key", "n", "top")
-    return rows.join(several, "key")
+    return rows.join(C.checkpoint(several), "key")
 
 
 def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfig) -> tuple[DataFrame, DataFrame]:
@@ -272,7 +281,7 @@ def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConf
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), n), pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["rep", "shingle"])
 
     ids = active.select("rep", "comp").distinct()
-    rows = texts.join(ids, "rep").select("rep", "text").mapInArrow(run, "rep long, shingle long")
+    rows = C.bounded(texts).join(ids, "rep").select("rep", "text").mapInArrow(run, "rep long, shingle long")
     # one more than `rare` of a shingle's documents tell that it is common; Spark drops others before the shuffle
     first = rows.withColumn("n", F.dense_rank().over(Window.partitionBy("shingle").orderBy("rep"))).where(F.col("n") <= cfg.rare + 1)
     lists = C.checkpoint(first.groupBy("shingle").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where(F.size("reps") <= cfg.rare).select("reps"))
@@ -297,9 +306,16 @@ def _counts(cfg: MinHashConfig) -> Iterator[int]:
 
 
 def keep(docs: DataFrame, cfg: MinHashConfig | None = None) -> DataFrame:
-    """docs without all but one of each component, that of the least id."""
-    kept = _linked(docs, cfg or MinHashConfig()).where("kept").select(F.col("id").alias("__id")).distinct()
-    return docs.withColumn("__id", row_id()).join(kept, "__id").dropDuplicates(["__id"]).select(docs.columns)
+    """docs with one row of each component: of its least id, and of that id's texts the least."""
+    own, place = C.unused("id", docs), C.unused("place", docs)
+    kept = C.written(_linked(docs, cfg or MinHashConfig()).where("kept").select(F.col("id").alias(own)).distinct(), "kept")
+    joined = docs.withColumn(own, row_id()).join(kept, own)
+    first = F.row_number().over(Window.partitionBy(own).orderBy(F.asc_nulls_first("text"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text") and _orderable(docs, c)]))
+    return joined.withColumn(place, first).where(F.col(place) == 1).select(docs.columns)
+
+
+def _orderable(docs: DataFrame, name: str) -> bool:
+    return docs.schema[name].dataType.typeName() not in ("map", "variant", "struct", "array")
 
 
 #: The registered query's parameters.

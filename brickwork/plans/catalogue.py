@@ -181,11 +181,31 @@ def best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.best(_pairs(spark, sf_dir), "external_id", "candidate", MatchConfig(threshold=0.6)).select("external_id", "candidate", F.round("confidence", 5).alias("confidence"))
 
 
-@query(None)
+_RESOLVE = f"""WITH RECURSIVE {lv.LATEST_SQL}, {lv.LOCATION_SQL}, {_SIGNALS},
+a AS (SELECT s.*, loc.id AS location_id, row_number() OVER (PARTITION BY loc.id, property_type, rooms ORDER BY scraped_at, external_id) AS k FROM s JOIN loc ON s.city = loc.city AND s.neighbourhood IS NOT DISTINCT FROM loc.neighbourhood),
+r AS (SELECT location_id, property_type, rooms, k, [struct_pack(o := external_id, m2 := area_m2, la := lat, ln := lng, pr := price_egp, f := [floor_type], v := [view_type], p := [phase], b := [building])] AS props, external_id, external_id AS founder, 1.0::DOUBLE AS confidence, 'new' AS method FROM a WHERE k = 1
+UNION ALL
+SELECT location_id, property_type, rooms, k,
+  CASE WHEN best >= 0.8 THEN list_transform(props, lambda x, i: CASE WHEN i = spot THEN struct_pack(o := x.o, m2 := x.m2, la := x.la, ln := x.ln, pr := x.pr, f := list_append(x.f, floor_type), v := list_append(x.v, view_type), p := list_append(x.p, phase), b := list_append(x.b, building)) ELSE x END)
+    ELSE list_append(props, struct_pack(o := external_id, m2 := area_m2, la := lat, ln := lng, pr := price_egp, f := [floor_type], v := [view_type], p := [phase], b := [building])) END,
+  external_id, CASE WHEN best >= 0.8 THEN props[spot].o ELSE external_id END, CASE WHEN best >= 0.8 THEN best ELSE 1.0 END, CASE WHEN best >= 0.8 THEN 'scored_match' ELSE 'new' END
+FROM (SELECT *, list_max(scores) AS best, list_position(scores, list_max(scores)) AS spot FROM (
+  SELECT a.*, r.props, list_transform(r.props, lambda x: CASE
+    WHEN abs(a.area_m2 - x.m2) / greatest(x.m2, 1.0) > 0.05::DOUBLE OR abs(a.price_egp - x.pr) / greatest(a.price_egp, x.pr) > 0.5 THEN 0.0
+    WHEN (list_count(x.f) > 0 AND a.floor_type IS NOT NULL AND NOT list_contains(x.f, a.floor_type)) OR (list_count(x.p) > 0 AND a.phase IS NOT NULL AND NOT list_contains(x.p, a.phase)) OR (list_count(x.b) > 0 AND a.building IS NOT NULL AND NOT list_contains(x.b, a.building)) THEN 0.0
+    WHEN METRES > 1000 OR (METRES < 5 AND a.phase IS NULL AND a.building IS NULL) THEN 0.0
+    ELSE (25.0 + 15.0 + 20.0 * greatest(0.0, 1 - abs(a.area_m2 - x.m2) / greatest(x.m2, 1.0) / 0.05::DOUBLE) + 10.0 * greatest(0.0, 1 - METRES / 50) + 15.0 * greatest(0.0, 1 - abs(a.price_egp - x.pr) / greatest(a.price_egp, x.pr) / 0.15::DOUBLE)
+      + 15.0 * CASE WHEN list_count(x.v) > 0 AND a.view_type IS NOT NULL AND NOT list_contains(x.v, a.view_type) THEN 0.4 ELSE 1.0 END) / 100 END::DOUBLE) AS scores
+  FROM r JOIN a ON a.location_id = r.location_id AND a.property_type = r.property_type AND a.rooms = r.rooms AND a.k = r.k + 1) q) t)
+SELECT external_id, CAST(NULL AS BIGINT) AS property_id, founder, round(confidence, 6) AS confidence, method FROM r"""
+_METRES = "(2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(x.la - a.lat) / 2) * sin(radians(x.la - a.lat) / 2) + cos(radians(a.lat)) * cos(radians(x.la)) * sin(radians(x.ln - a.lng) / 2) * sin(radians(x.ln - a.lng) / 2)))))"
+
+
+@query(_RESOLVE.replace("METRES", _METRES))
 def resolve_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = resolve.located(lv.latest(spark, sf_dir), _dim(spark, sf_dir))
     none = spark.createDataFrame([], "property_id bigint, location_id bigint, property_type string, rooms double, area_m2 double, c_lat double, c_lng double, c_price_egp double, c_floors array<string>, c_views array<string>, c_phases array<string>, c_buildings array<string>, c_garden boolean, c_ground boolean")
-    return resolve.matched(resolve.with_signals(ads), none)
+    return resolve.matched(resolve.with_signals(ads), none).withColumn("confidence", F.round("confidence", 6))
 
 
 @query(f"""WITH {lv.LATEST_SQL}, {_SIGNALS}, g AS (SELECT property_id, coalesce(building, '') AS g_building, coalesce(phase, '') AS g_phase, count(*) AS n, min(external_id) AS f FROM s GROUP BY ALL)

@@ -82,6 +82,31 @@ def test_matcher_columns_and_kernel_agree(spark):
     assert {i: columns[i] for i in wanted if i != 1} == {i: v for i, v in wanted.items() if i != 1}
 
 
+def test_known_properties_with_and_without_advertisements(spark):
+    """A property without advertisements never gathers signals; one with some does, and conflicts from then on."""
+    ads = [_ad(t, external_id=str(i), location_id=at, lat=30.0901, scraped_at=f"2024-01-0{i % 3 + 1}") for at in (1, 2) for i, t in ((at * 10, "شقة B1"), (at * 10 + 1, "شقة B2"), (at * 10 + 2, "شقة B1"))]
+    known = spark.createDataFrame([(at, at, "Apartment", 3.0, 133.0, 30.0901, 31.64, 6.5e6) for at in (1, 2)], KNOWN)
+    sets = resolve.signal_sets(resolve.with_signals(spark.createDataFrame([(2, "شقة للبيع")], "property_id bigint, title string")), "property_id")
+    got = {r["external_id"]: (r["property_id"], r["founder"]) for r in resolve.matched(resolve.with_signals(spark.createDataFrame(ads, AD)), known.join(sets, "property_id", "left")).collect()}
+    assert [got[str(i)] for i in (10, 11, 12)] == [(1, None)] * 3
+    assert sorted(got[str(i)] for i in (20, 21, 22) if got[str(i)][0]) == [(2, None)] * (2 if got["21"][1] else 1)
+    assert any(got[str(i)][1] for i in (20, 21, 22))
+
+
+def test_cells_leave_out_no_candidate():
+    """Matching by cells, and by area among many candidates, against all candidates in turn."""
+    import random
+
+    from brickwork.config import MatchConfig
+
+    r = random.Random(2)
+    ads = [(str(i), r.choice([100.0, 102.0, 150.0, 0.0]), r.choice([0.0, 30 + r.random() / 50]), 31 + r.random() / 50, r.choice([0.0, 1e6, 1.1e6]), [None, None, None, r.choice([None, "B1", "B2"])], False, False) for i in range(400)]
+    fast, slow = resolve._Block(MatchConfig(), "Apartment"), resolve._Block(MatchConfig(), "Apartment")
+    slow._candidates = lambda lat, lng: list(range(len(slow.owner)))
+    slow._by_area = lambda candidates, area: candidates
+    assert [fast.place(*a) for a in ads] == [slow.place(*a) for a in ads]
+
+
 @pytest.mark.parametrize("title,phase,building", [("شقة للبيع في مجموعة 111 في الرحاب", "111", None), ("شقة في بلوك B بالتجمع", "b", None), ("شاليه في cluster 3 بالساحل", "3", None), ("x b12 y", None, "B12"), ("شقة بالبيى ٣", None, None), (None, None, None)])
 def test_title(spark, title, phase, building):
     row = resolve.with_signals(spark.createDataFrame([(title,)], "title string")).first()

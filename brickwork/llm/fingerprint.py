@@ -1,29 +1,35 @@
 """Canonical exact document fingerprints.
 
 A text's canonical form is NFKC, case-folded, with each run of white space as one space and none at
-the ends. Its fingerprint is the 128-bit xxh3 digest of that form's UTF-8. `groups` puts documents
-of equal digests together and compares their canonical bytes, so a digest's collision splits.
+the ends. Its fingerprint is the 128-bit xxh3 digest of that form's UTF-8. Documents of one digest are a
+bucket; inside it each form is compared, byte by byte, with the form of the bucket's first document.
+Forms that differ, which takes a collision of 128 bits, get the form's sha256 added to their fingerprint.
 
-Defined results: a null text is empty, and empty texts share the fingerprint of the empty form; rows
-with equal doc_id follow each other by text; rows without doc_id have no place and give no row; likeness of exact digests is 1.0 or 0.0; further
-columns are ignored; an empty table gives no rows.
+Documents stand in the order of doc_id, then of the text's 64-bit hash; those without doc_id come last, by
+that hash. Equal rows are one document of the buckets, and each gives its row.
+
+Defined results: a null text is empty, and empty texts share the fingerprint of the empty form; rows of one
+doc_id follow each other by hash; a row without doc_id has a row with a null doc_id; likeness of exact
+digests is 1.0 or 0.0, confirmed on the bytes; group_id is the least doc_id with the same form (null if none
+has one); further columns are ignored; an empty table gives no rows; one document follows itself.
 """
 
 from __future__ import annotations
 
 import hashlib
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brickwork.llm import common as C
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+KEY = ["unnamed", "k2", "k3"]
 
 
 def canonical(text: str | None) -> str:
@@ -40,73 +46,88 @@ def fingerprint(text: str | None) -> str:
     return xxhash.xxh3_128_hexdigest(canonical(text).encode())
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """KEY and text; KEY is a document's place in the order, and tells it from others."""
+    text = F.coalesce("text", F.lit(""))
+    named = F.col("doc_id").isNotNull()
+    return docs.select((~named).alias("unnamed"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("k2"), F.when(named, F.xxhash64(text)).otherwise(0).alias("k3"), text.alias("text"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint) of each row."""
+    """KEY and digest of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([fingerprint(x) for x in C.strings(b.column("text"))], pa.string())], names=["doc_id", "fingerprint"])
+            digests = [xxhash.xxh3_128_digest(canonical(x).encode()) for x in C.strings(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in KEY), pa.array(digests, pa.binary())], names=[*KEY, "digest"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return C.bounded(_keyed(docs)).mapInArrow(run, "unnamed boolean, k2 long, k3 long, digest binary").distinct()
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, group_id): group_id is the least doc_id with the same canonical bytes.
-
-    Each document is compared with its bucket's first text; those that differ from it, which takes a
-    collision of 128 bits, are grouped by the bytes themselves.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in C.slices(batches, "text"):
-            forms = [canonical(x) for x in C.strings(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([xxhash.xxh3_128_hexdigest(x.encode()) for x in forms], pa.string()), pa.array(forms, pa.string())], names=["doc_id", "fingerprint", "form"])
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string, form string")
-    first = rows.groupBy("fingerprint").agg(F.min_by("form", "doc_id").alias("first_form"), F.min("doc_id").alias("first_id"))
-    joined = rows.join(first, "fingerprint")
-    same = joined.where(F.col("form") == F.col("first_form")).select("doc_id", "fingerprint", F.col("first_id").alias("group_id"))
-    apart = joined.where(F.col("form") != F.col("first_form")).select("doc_id", "fingerprint", "form")
-    least = apart.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("group_id"))
-    return same.unionByName(apart.join(least, ["fingerprint", "form"]).select("doc_id", "fingerprint", "group_id"))
+def _rank() -> Column:
+    return F.struct(*KEY)
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
-    """SCHEMA: each document's fingerprint, and that of its text with the second half taken from the next one.
+    """SCHEMA and group_id: each document's fingerprint, and that of its text with the second half taken from the next one.
 
-    Documents are dealt into ranges of doc_id, so that the text moves once. The first document of a
-    range goes to the range before too; only these first ids, one a range, come to the driver.
+    Documents are dealt into ranges of their order, so that the text moves once. The first document of a
+    range goes to the range before too; only these firsts' keys, one a range, come to the driver. The
+    documents of buckets come out with their forms, which then meet the form of the bucket's first.
     """
     spark = docs.sparkSession
-    docs = docs.where("doc_id IS NOT NULL")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    lean = C.written(fingerprints(docs), "fingerprints")
+    buckets = C.written(lean.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(_rank()).alias("first")).where("n > 1").select("digest", "first"), "fingerprint-buckets")
+    member = lean.join(buckets, "digest").select(*KEY, "digest", (_rank() == F.col("first")).alias("leads"))
     parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
-    spread = ids.repartitionByRange(parts, "doc_id").select("doc_id", F.spark_partition_id().alias("part"))
-    heads = sorted(r[1] for r in spread.groupBy("part").agg(F.min("doc_id")).collect())
-    bounds = np.array(heads, np.int64)  # empty only if there are no rows
+    spread = lean.select(KEY).repartitionByRange(parts, *KEY).select(*KEY, F.spark_partition_id().alias("part"))
+    bounds = sorted(tuple(r[1]) for r in spread.groupBy("part").agg(F.min(_rank())).collect())  # empty only if there are no rows
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            doc_id = b.column("doc_id")
-            known = np.asarray(doc_id)
-            part = np.maximum(np.searchsorted(bounds, known, "right") - 1, 0)
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(np.zeros(len(part), bool)), doc_id, b.column("text")], names=["part", "ahead", "doc_id", "text"])
-            if (at := np.flatnonzero(np.isin(known, bounds))).size:
-                to = (part[at] - 1) % len(bounds)
-                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(np.ones(len(at), bool)), doc_id.take(pa.array(at)), b.column("text").take(pa.array(at))], names=["part", "ahead", "doc_id", "text"])
-
-    kind = "part long, ahead boolean, doc_id long, text string"
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(deal, kind)
-    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "ahead", "doc_id", "text")
-    return ordered.mapInArrow(_edited, SCHEMA)
+            keys = list(zip(*(b.column(k).to_pylist() for k in KEY), strict=True))
+            part = [max(bisect_right(bounds, k) - 1, 0) for k in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([False] * len(part)), *b.columns], names=["part", "ahead", *b.schema.names])
+            is_text = b.column("is_text").to_pylist()
+            at = [i for i, k in enumerate(keys) if is_text[i] and (j := bisect_left(bounds, k)) < len(bounds) and bounds[j] == k]
+            if at:
+                to = [(part[i] - 1) % len(bounds) for i in at]
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array([True] * len(at)), *(c.take(pa.array(at)) for c in b.columns)], names=["part", "ahead", *b.schema.names])
+
+    texts = _keyed(docs).select(*KEY, F.lit(True).alias("is_text"), "text", F.lit(None).cast("boolean").alias("leads"))
+    flags = member.select(*KEY, F.lit(False).alias("is_text"), F.lit(None).cast("string").alias("text"), "leads")
+    kind = "part int, ahead boolean, unnamed boolean, k2 long, k3 long, is_text boolean, text string, leads boolean"
+    dealt = C.bounded(texts.unionByName(flags)).mapInArrow(deal, kind)
+    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "ahead", *KEY, "is_text", "text")
+    made = C.written(ordered.mapInArrow(_edited, f"{SCHEMA}, leads boolean, form string"), "edits")
+    return _compared(made)
+
+
+def _compared(made: DataFrame) -> DataFrame:
+    """SCHEMA and group_id of rows with the forms of buckets' documents; forms are compared with the first's."""
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    first = made.where("leads").groupBy("fingerprint").agg(F.first("form").alias("first_form"), F.first("doc_id").alias("group_id"))
+    # written, so that the join is of two tables and can be split at a large bucket
+    joined = made.where("form IS NOT NULL").join(C.written(first, "fingerprint-firsts"), "fingerprint")
+    same = joined.where("form = first_form").select(*names, "group_id")
+    apart = joined.where("form <> first_form").drop("group_id")
+    least = apart.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("group_id"))
+    other = apart.join(least, ["fingerprint", "form"]).withColumn("fingerprint", F.concat_ws("-", "fingerprint", F.sha2("form", 256)))
+    alone = made.where("form IS NULL").select(*names, F.col("doc_id").alias("group_id"))
+    return alone.unionByName(same).unionByName(other.select(*names, "group_id"))
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
-    held = None  # part, doc_id, text of the document that waits for the next one
+    held = None  # part, doc_id, text, fingerprint, leads of the document that waits for the next one
+    flag: tuple | None = None  # key and leads of the bucket's document that comes next
     for b in C.slices(batches, "text"):
-        for part, ahead, doc_id, text in zip(b.column("part").to_pylist(), b.column("ahead").to_pylist(), b.column("doc_id").to_pylist(), C.strings(b.column("text")), strict=True):
-            own = (part, doc_id, text, fingerprint(text))
+        for part, ahead, unnamed, k2, k3, is_text, text, leads in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            key = (unnamed, k2, k3)
+            if not is_text:
+                flag = (key, leads)
+                continue
+            own = (part, None if unnamed else k2, text, fingerprint(text), flag[1] if flag is not None and flag[0] == key else None)
             if held is not None and held[0] == part:
                 out.append(_row(held, own))
                 held = None
@@ -118,16 +139,17 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _row(held: tuple, following: tuple) -> tuple:
-    _, doc_id, text, print_ = held
+    _, doc_id, text, print_, leads = held
     half = len(text) // 2
     edited = text[: len(text) - half] + following[2][:half]
     changed = print_ if edited == text else fingerprint(edited)
-    return doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), print_, changed, float(changed == print_), float(following[3] == print_)
+    near = [float(p == print_ and (x == text or canonical(x) == canonical(text))) for p, x in ((changed, edited), (following[3], following[2]))]
+    return doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), print_, changed, *near, leads, None if leads is None else canonical(text)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.string()]
+    names = [*(x.split()[0] for x in SCHEMA.split(", ")), "leads", "form"]
     return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 

@@ -8,6 +8,7 @@ import math
 import random
 import re
 import string
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -183,19 +184,42 @@ def test_scoring(docs, empty):
     assert scoring.scored(empty, model).count() == 0
 
 
+def _form(t):
+    """The canonical form, written apart from the operator's."""
+    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", t or "").casefold())
+    return re.sub(r"\s+", " ", folded).strip()
+
+
 def test_fingerprints(spark, docs, empty):
     got = _rows(fingerprint.with_edits(docs))
+    forms = [_form(t) for t in TEXTS]
     for i, t in enumerate(TEXTS):
-        t, n = t or "", TEXTS[(i + 1) % len(TEXTS)] or ""
+        t, j = t or "", (i + 1) % len(TEXTS)
+        n = TEXTS[j] or ""
         edited = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
         r = got[i]
         assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert r["near_next"] == float(fingerprint.canonical(t) == fingerprint.canonical(n)) and r["near_edited"] == float(r["fingerprint"] == r["edited_fingerprint"])
-    assert got[5]["fingerprint"] == got[6]["fingerprint"] == got[8]["fingerprint"] != got[7]["fingerprint"]
-    group = {r["doc_id"]: r["group_id"] for r in fingerprint.groups(docs).collect()}
-    assert group[6] == group[8] == 5 and group[1] == group[2] == 0 and group[7] == 7
+        assert r["near_next"] == float(forms[i] == forms[j]) and r["near_edited"] == float(_form(edited) == forms[i]) == float(r["fingerprint"] == r["edited_fingerprint"])
+        assert r["group_id"] == forms.index(forms[i])
+    assert len({r["fingerprint"] for r in got.values()}) == len(set(forms))
     assert fingerprint.with_edits(empty).count() == 0 and fingerprint.with_edits(docs.where("doc_id = 5")).count() == 1
-    assert fingerprint.canonical("ﬁ  Straße X") == "fi strasse x"
+    assert fingerprint.canonical("ﬁ  Straße X") == "fi strasse x"
+
+
+def test_fingerprints_of_rows_without_doc_id_and_repeated_ones(spark):
+    rows = [(3, "Aa b"), (3, "Aa b"), (3, "other"), (None, "aa  B"), (None, "own"), (None, None), (7, "")]
+    got = fingerprint.with_edits(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, form string, k2 long")).collect()
+    assert Counter((r["doc_id"], r["n_chars"], r["group_id"]) for r in got) == Counter([(3, 4, 3), (3, 4, 3), (3, 5, 3), (None, 5, 3), (None, 3, None), (None, 0, 7), (7, 0, 7)])
+
+
+def test_fingerprints_compare_bytes(spark, monkeypatch):
+    """Rows as if all forms had one digest: what differs from the first comes apart."""
+    names = [x.split()[0] for x in fingerprint.SCHEMA.split(", ")]
+    rows = [(i, 1, "s", "same", "e", 0.0, 0.0, i == 1, f) for i, f in ((1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, "b"))] + [(6, 1, "s", "alone", "e", 0.0, 0.0, None, None)]
+    made = spark.createDataFrame(rows, fingerprint.SCHEMA + ", leads boolean, form string")
+    got = {r["doc_id"]: (r["group_id"], r["fingerprint"]) for r in fingerprint._compared(made).collect()}
+    assert {i: g for i, (g, _) in got.items()} == {1: 1, 2: 1, 3: 3, 5: 3, 4: 4, 6: 6} and names[3] == "fingerprint"
+    assert got[1][1] == got[2][1] == "same" and got[3][1] == got[5][1] != got[4][1] and len({f for _, f in got.values()}) == 4
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><nav><a>Home</a></nav><div class="ad">buy</div>

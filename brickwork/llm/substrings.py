@@ -1,21 +1,27 @@
 """Substring dedup by repeated-phrase automata.
 
 A window is `window` consecutive words of a document. Each has a least phrase of `phrase` words, by
-hash, that its content alone decides; neighbouring windows mostly share it and form a segment.
-Phrases that occur once cannot lie in a repeated window. So: count phrases over all documents,
-keep the segments of recurring ones, and take of equal segments the earliest. These are dealt out by
-phrase into shards. For each shard an Aho-Corasick automaton of its phrases, over numbered words, is
-compiled, and the segments are streamed through it: where a phrase is located, the windows about it
-are compared word by word, and the earliest place of each window is found. All windows of segments
-of recurring phrases go, save those earliest places.
+hash, that its content alone decides; neighbouring windows mostly share it and form a segment. Every
+document is cut so; a phrase that occurs once cannot lie in a repeated window, which leaves the segments
+of recurring phrases. Equal segments (by 128 bits: phrase and segment) are one, with the number of their
+places and the earliest.
+
+Segments are dealt out by phrase into shards. A shard confirms its recurring passages: the windows whose
+64-bit hash occurs in two segments, or in one of several places. An Aho-Corasick automaton of these
+passages, over numbered words, is compiled, and all segments of all documents that came to the shard are
+streamed through it; where it locates a passage decides which windows are repeated, and the earliest
+place of each. All windows of the segments go, save those that the automaton does not locate, and the
+earliest place of each that it does. (Two windows of one shard with one hash and different words would
+leave one of them unremoved; for n windows of one phrase the probability is under n^2 / 2^65.)
 
 Phrases in more than `hot` different segments are dealt out by window instead, so that no shard
-gathers a frequent phrase. Equal segments are told by 128 bits (phrase and segment), windows by words.
+gathers a frequent phrase; equal windows are then joined as they arrive.
 
 Defined results: a null or empty text has no words; fewer words than a window has are all kept;
 rows of one doc_id and text are one document and are each returned; a document is told by its doc_id
 and 64 bits of its text, so different texts under one doc_id, or without any, are documents of their own,
-in the order of those bits; rows without doc_id come before all others; an empty table gives no rows; further columns are ignored.
+in the order of those bits; rows without doc_id come before all others; an empty table gives no rows;
+further columns are ignored; long texts are cut in runs of whole words that overlap by a window.
 """
 
 from __future__ import annotations
@@ -40,7 +46,7 @@ class RepeatConfig:
     window: int = 20
     phrase: int = 6
     hot: int = 256
-    shard: int = 4000
+    shard: int = 1000
 
 
 def _rolled(total: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,51 +91,66 @@ def runs(docs: DataFrame, cfg: RepeatConfig) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "text"):
-            w = C.Words(b.column("text"))
-            h, sh, doc, start, count, _ = segments(w, cfg)
-            ids = np.asarray(b.column("doc_id"))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(ids[doc], pa.int64()), pa.array(np.asarray(b.column("digest"))[doc], pa.int64()), pa.array((start - w.first[doc]).astype(np.int32)), pa.array(count.astype(np.int32))], names=["h", "sh", "doc_id", "digest", "start", "n"])
+            ids, digest = np.asarray(b.column("doc_id")), np.asarray(b.column("digest"))
+            for w, base in _words(b.column("text"), cfg):
+                h, sh, doc, start, count, _ = segments(w, cfg)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(ids[doc], pa.int64()), pa.array(digest[doc], pa.int64()), pa.array((start - w.first[doc] + base).astype(np.int32)), pa.array(count.astype(np.int32))], names=["h", "sh", "doc_id", "digest", "start", "n"])
 
     return docs.mapInArrow(run, RUNS)
 
 
-SEGMENT = "key long, doc_id long, digest long, start int, n int, at int, words binary"
+def _words(column: pa.Array, cfg: RepeatConfig) -> Iterator[tuple[C.Words, int]]:
+    """The words of a slice, or of the runs of one long text; and the words of that text before the run."""
+    base = 0
+    for part in C.runs(column, cfg.window - 1):
+        w = C.Words(part)
+        yield w, base
+        base += len(w.hash) - (cfg.window - 1)
+
+
+SEGMENT = "key long, doc_id long, digest long, start int, n int, many boolean, words binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.RecordBatch]:
     """The wanted segments of documents with their words. Those of frequent phrases go window by window, keyed by its words."""
     for b in C.slices(batches, "text"):
-        w = C.Words(b.column("text"))
-        h, _, doc, start, count, anchor = segments(w, cfg)
-        local = start - w.first[doc]
-        place = {(d, s): i for i, (d, s) in enumerate(zip(doc.tolist(), local.tolist(), strict=True))}
-        raw = w.data.tobytes()
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        for d, (doc_id, digest, wanted) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("digest").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
-            for item in wanted:
-                i = place[d, item["start"]]
+        ids, digests = b.column("doc_id").to_pylist(), b.column("digest").to_pylist()
+        wanted = [{x["start"]: x for x in items} for items in b.column("wanted").to_pylist()]
+        for w, base in _words(b.column("text"), cfg):
+            h, _, doc, start, count, _ = segments(w, cfg)
+            raw = w.data.tobytes()
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            for i, (d, local) in enumerate(zip(doc.tolist(), (start - w.first[doc] + base).tolist(), strict=True)):
+                if (item := wanted[d].get(local)) is None:
+                    continue
                 first, n = int(start[i]), int(count[i])
                 words = [raw[x:y] for x, y in zip(w.start[first : first + n + cfg.window - 1].tolist(), w.end[first : first + n + cfg.window - 1].tolist(), strict=True)]
                 if not item["hot"]:
-                    rows = [(int(h[i].view(np.int64)), doc_id, digest, item["start"], n, int(anchor[i]) - first, b" ".join(words))]
+                    rows = [(int(h[i].view(np.int64)), ids[d], digests[d], local, n, item["many"], b" ".join(words))]
                 else:
-                    rows = [(_key(own), doc_id, digest, item["start"] + k, 1, int(anchor[i]) - first - k, own) for k in range(n) for own in [b" ".join(words[k : k + cfg.window])]]
+                    rows = [(_key(own), ids[d], digests[d], local + k, 1, item["many"], own) for k in range(n) for own in [b" ".join(words[k : k + cfg.window])]]
                 for row in rows:
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[x.split()[0] for x in SEGMENT.split(", ")])
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=[x.split()[0] for x in SEGMENT.split(", ")])
 
 
 def _key(words: bytes) -> int:
     return xxhash.xxh3_64_intdigest(words) - 2**63
 
 
+MARK = "doc_id long, digest long, start int, n int, first int"
+
+
 def _located(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.RecordBatch]:
-    """For segments sorted by key: document, first window and the bits of those windows that occur here first."""
+    """For segments sorted by key: MARKs, document, first window and the bits of those windows that stay there."""
     rows: list[tuple] = []
     for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if rows and row[0] == rows[-1][0] and row[4] == rows[-1][4] == 1 and row[6] == rows[-1][6]:
+                rows[-1] = (row[0], *min(row[1:4], rows[-1][1:4]), 1, True, row[6])  # a frequent phrase's window again
+                continue
             if len(rows) >= cfg.shard and row[0] != rows[-1][0]:
                 yield _shard(rows, cfg)
                 rows = []
@@ -139,29 +160,47 @@ def _located(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
 
 
 def _shard(rows: list[tuple], cfg: RepeatConfig) -> pa.RecordBatch:
-    """Compiles one shard's automaton and streams its segments through it."""
+    """Confirms one shard's recurring windows, compiles their automaton and streams the segments through it."""
     number: dict[bytes, int] = {}
     texts = [tuple([number.setdefault(x, len(number)) for x in row[6].split(b" ")]) for row in rows]
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for row, text in zip(rows, texts, strict=True):
-        automaton.add_word(text[row[5] : row[5] + cfg.phrase])
-    automaton.make_automaton()
-    earliest: dict[tuple, tuple[int, int, int]] = {}
-    found: list[tuple[int, tuple, tuple[int, int, int]]] = []
-    for i, ((_, doc_id, digest, start, n, at, _), text) in enumerate(zip(rows, texts, strict=True)):
-        for end, length in automaton.iter(text):
-            if end - length + 1 == at:  # other phrases' windows come with their own segments
-                for k in range(n):
-                    window, place = text[k : k + cfg.window], (doc_id, digest, start + k)
-                    if earliest.setdefault(window, place) > place:
-                        earliest[window] = place
-                    found.append((i, window, place))
-                break
-    first = [0] * len(rows)
-    for i, window, place in found:
-        if earliest[window] == place:
-            first[i] |= 1 << place[2] - rows[i][3]
-    return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int32()), pa.array([0] * len(rows), pa.int32()), pa.array(first, pa.int32())], names=["doc_id", "digest", "start", "n", "first"])
+    patterns = _recurring(rows, texts, cfg)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for i, (r, k) in enumerate(patterns):
+        automaton.add_word(texts[r][k : k + cfg.window], i)
+    stays = [(1 << row[4]) - 1 for row in rows]  # bits of the windows that are not located, or first
+    earliest: list[tuple | None] = [None] * len(patterns)
+    if patterns:
+        automaton.make_automaton()
+        for i, ((_, doc_id, digest, start, _, _, _), text) in enumerate(zip(rows, texts, strict=True)):
+            for end, pattern in automaton.iter(text):
+                k = end - cfg.window + 1
+                stays[i] &= ~(1 << k)
+                place = (doc_id, digest, start + k, i, k)
+                if earliest[pattern] is None or place < earliest[pattern]:
+                    earliest[pattern] = place
+    for place in earliest:
+        if place is not None:
+            stays[place[3]] |= 1 << place[4]
+    out = [(row[1], row[2], row[3], 0, bits) for row, bits in zip(rows, stays, strict=True) if bits]
+    columns = list(zip(*out, strict=True)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=[x.split()[0] for x in MARK.split(", ")])
+
+
+def _recurring(rows: list[tuple], texts: list[tuple], cfg: RepeatConfig) -> list[tuple[int, int]]:
+    """A (segment, window) for each window hash that recurs: in two places of the shard, or in a segment of several."""
+    length = np.array([len(t) for t in texts])
+    flat = C.mix(np.fromiter((x for t in texts for x in t), np.uint64, int(length.sum())) + np.uint64(1))
+    total = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(flat * C.powers(len(flat)), out=total[1:])
+    n = np.array([row[4] for row in rows])
+    row = np.repeat(np.arange(len(rows)), n)
+    window = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(length) - length, n) + window
+    _, first, inverse = np.unique(_rolled(total, at, at + cfg.window), return_index=True, return_inverse=True)
+    many = np.array([r[5] for r in rows])
+    times = np.bincount(inverse) + np.bincount(inverse, weights=many[row])
+    chosen = first[times >= 2]
+    return list(zip(row[chosen].tolist(), window[chosen].tolist(), strict=True))
 
 
 def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[pa.RecordBatch]:
@@ -172,12 +211,13 @@ def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
         start, n, first = (np.asarray(flat.field(c)) for c in ("start", "n", "first"))
         size = np.asarray(marks.value_lengths().fill_null(0))
         ends = np.cumsum(size)
-        for doc_id, text, to, count in zip(b.column("doc_id").to_pylist(), C.strings(b.column("text")), ends.tolist(), size.tolist(), strict=True):
-            words = text.encode().split()
-            gone = 0
-            if count and len(words) >= cfg.window:
+        for i, (doc_id, to, count) in enumerate(zip(b.column("doc_id").to_pylist(), ends.tolist(), size.tolist(), strict=True)):
+            parts = [C.column_bytes(x)[0].tobytes() for x in C.runs(b.column("text").slice(i, 1))]
+            total = sum(len(x.split()) for x in parts) if len(parts) > 1 else len(parts[0].split())
+            keep = None
+            if count and total >= cfg.window:
                 s, k, f = start[to - count : to], n[to - count : to], first[to - count : to]
-                repeated = np.zeros(len(words) - cfg.window + 1, bool)
+                repeated = np.zeros(total - cfg.window + 1, bool)
                 for a, m in zip(s[k > 0].tolist(), k[k > 0].tolist(), strict=True):
                     repeated[a : a + m] = True
                 for a, bits in zip(s[f > 0].tolist(), f[f > 0].tolist(), strict=True):
@@ -186,17 +226,23 @@ def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
                         if (at := a + low.bit_length() - 1) < len(repeated):
                             repeated[at] = False
                         bits ^= low
-                edge = np.zeros(len(words) + 1, np.int64)
+                edge = np.zeros(total + 1, np.int64)
                 where = np.flatnonzero(repeated)
                 np.add.at(edge, where, 1)
                 np.add.at(edge, where + cfg.window, -1)
                 keep = np.cumsum(edge[:-1]) == 0
-                gone = int(len(words) - keep.sum())
-                kept = list(compress(words, keep.tolist()))
-            else:
-                kept = words
+            kept, place = [], 0
+            for x in parts:
+                words = x.split()
+                if keep is not None:
+                    mask = keep[place : place + len(words)].tolist()
+                    place += len(words)
+                    words = list(compress(words, mask))
+                if words:
+                    kept.append(b" ".join(words))
             joined = b" ".join(kept)
-            for column, value in zip(out, (None if doc_id == NO_ID else doc_id, len(words), gone, hashlib.sha256(joined).hexdigest(), joined.decode()), strict=True):
+            gone = 0 if keep is None else int(total - keep.sum())
+            for column, value in zip(out, (None if doc_id == NO_ID else doc_id, total, gone, hashlib.sha256(joined).hexdigest(), joined.decode()), strict=True):
                 column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
@@ -204,16 +250,18 @@ def _removed(batches: Iterator[pa.RecordBatch], cfg: RepeatConfig) -> Iterator[p
 def dedup(docs: DataFrame, cfg: RepeatConfig | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the kept words) of every row."""
     cfg = cfg or RepeatConfig()
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
+    docs = C.bounded(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     found = runs(docs, cfg)
-    recurring = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    # what is known of each phrase is written before it is joined: a join of two tables can be split at a frequent phrase
+    recurring = C.written(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "phrases")
     places = C.written(found.join(recurring, "h"), "repeats")
-    variants = places.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "digest", "start")).alias("f"))
-    frequent = variants.groupBy("h").agg((F.count(F.lit(1)) > cfg.hot).alias("hot"))
-    wanted = variants.join(frequent, "h").groupBy(F.col("f.doc_id").alias("doc_id"), F.col("f.digest").alias("digest")).agg(F.collect_list(F.struct(F.col("f.start").alias("start"), "hot")).alias("wanted"))
+    variants = C.written(places.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "digest", "start")).alias("f"), (F.count(F.lit(1)) > 1).alias("many")), "variants")
+    frequent = C.written(variants.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > cfg.hot).select("h", F.lit(True).alias("hot")), "frequent")
+    marked = variants.join(frequent, "h", "left").select("f", F.struct(F.col("f.start").alias("start"), F.coalesce("hot", F.lit(False)).alias("hot"), "many").alias("x"))
+    wanted = marked.groupBy(F.col("f.doc_id").alias("doc_id"), F.col("f.digest").alias("digest")).agg(F.collect_list("x").alias("wanted"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = docs.join(wanted, ["doc_id", "digest"]).select("doc_id", "digest", "text", "wanted").mapInArrow(lambda batches: _cut(batches, cfg), SEGMENT)
-    first = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda batches: _located(batches, cfg), "doc_id long, digest long, start int, n int, first int")
+    first = cut.repartition(parts, "key").sortWithinPartitions("key", "words").mapInArrow(lambda batches: _located(batches, cfg), MARK)
     marks = places.select("doc_id", "digest", "start", "n", F.lit(0).alias("first")).unionByName(first)
     by_doc = marks.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "n", "first")).alias("marks"))
     joined = docs.join(by_doc, ["doc_id", "digest"], "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<struct<start:int,n:int,first:int>>")).alias("marks"))

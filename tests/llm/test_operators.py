@@ -13,9 +13,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from brickwork.llm import common as C
 from brickwork.llm import eftrie, fingerprint, minhash, mixing, packing, pages, quality, scoring, secrets, substrings, topk
 from brickwork.llm import queries as Q
 
@@ -89,6 +91,64 @@ def test_substrings_by_window_for_frequent_phrases(docs):
     assert a == b
 
 
+class _Stub:
+    """Stands for an automaton that locates nothing, or its first pattern at each place."""
+
+    everywhere = False
+
+    def __init__(self, *_):
+        self.size = 0
+
+    def add_word(self, word, _):
+        self.size = len(word)
+
+    def make_automaton(self):
+        pass
+
+    def iter(self, text):
+        return [(i, 0) for i in range(self.size - 1, len(text))] if self.everywhere else []
+
+
+@pytest.mark.parametrize("everywhere", [False, True])
+def test_substrings_rest_on_the_automaton(monkeypatch, everywhere):
+    cfg = substrings.RepeatConfig(window=3, phrase=2)
+    rows = [(1, d, 0, 0, 3, False, f"a{d} x y z b{d}".encode()) for d in (5, 2)] + [(1, 9, 0, 0, 2, True, b"p q r s")]
+    marks = lambda: {(d, s): f for d, _, s, _, f in zip(*substrings._shard(rows, cfg).to_pydict().values(), strict=True)}
+    assert marks() == {(2, 0): 0b111, (5, 0): 0b101, (9, 0): 0b11}
+    right = marks()
+    monkeypatch.setattr(_Stub, "everywhere", everywhere)
+    monkeypatch.setattr(substrings.ahocorasick, "Automaton", _Stub)
+    assert marks() != right
+
+
+def test_long_texts(spark, monkeypatch):
+    """Texts of many runs give what they give whole; the runs are shortened instead of the texts lengthened."""
+    r = random.Random(6)
+    prose = lambda n: " ".join(r.choice(["a", "bb", "ccc", "é", "X"]) + str(r.randrange(50)) for _ in range(n))
+    shared = prose(300)
+    rows = [(1, prose(700) + " " + shared), (2, shared + "\n" + prose(500) + "\t "), (3, "w" * 3000 + " x"), (4, "w" * 5000), (5, prose(30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = scoring.build(df, scoring.LanguageConfig())
+    take = lambda: [sorted(map(repr, x.collect())) for x in (substrings.dedup(df), minhash.linked(df, minhash.QUERY).drop("kept"), scoring.scored(df, model), packing.pieces(df, packing.PackConfig()))]
+    whole = take()
+    for x in (C.runs, C.slices):
+        monkeypatch.setattr(x, "__defaults__", (*x.__defaults__[:-1], 512))
+    assert len(list(C.runs(pa.array([rows[0][1]]), 4))) > 5
+    assert take() == whole
+
+
+@pytest.mark.parametrize("after", [0, 2, 19])
+def test_runs(after):
+    r = random.Random(after)
+    for text in ("", " ", "one", "a b  c\td " * 40, "x" * 90, " ".join("w" * r.randrange(1, 9) for _ in range(200)) + "\n "):
+        words = WORD.findall(text)
+        parts = [x[0].as_py() if isinstance(x[0].as_py(), bytes) else x[0].as_py().encode() for x in C.runs(pa.array([text]), after, 16)]
+        got = [WORD.findall(p.decode()) for p in parts]
+        joined = got[0] + [w for x in got[1:] for w in x[after:]]
+        assert joined == words
+        assert all(len(x) >= after for x in got[1:])
+
+
 def test_topk(spark):
     r = np.random.default_rng(1)
     v = r.normal(size=(300, 64))

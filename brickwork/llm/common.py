@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy step holds. The working arrays are about 50 times this.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Bytes of one Arrow batch between Spark and Python, where the session allows more; a longer row is a batch alone.
 BATCH_BYTES = 4 << 20
 
@@ -81,6 +82,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system: workers stay for later tasks, several to an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def offsets(column: pa.Array) -> np.ndarray:

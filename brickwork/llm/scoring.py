@@ -51,15 +51,28 @@ class Model:
 
 
 class Tokens:
-    """Word hashes of a slice with an end after each document."""
+    """Word hashes of a slice with an end after each document; `own`: without the words that the run before it had."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, begins: bool = True, ends: bool = True, shared: int = 0):
         w = C.Words(column, lower=True)
-        self.hash = np.insert(w.hash, w.first[1:], END)
-        self.count = w.count + 1
+        self.hash = np.insert(w.hash, w.first[1:], END) if ends else w.hash
+        self.count = w.count + ends
         self.last = np.cumsum(self.count) - 1
         self.first = np.zeros(len(self.hash), bool)
-        self.first[self.last - w.count] = True
+        if begins:
+            self.first[self.last - self.count + 1] = True
+        self.own = slice(shared, None)
+
+    @staticmethod
+    def of(column: pa.Array, order: int) -> Iterator[Tokens]:
+        """The tokens of a slice, or of the runs of one long text, which share the words of a context."""
+        held, begins = None, True
+        for part in C.runs(column, order - 1):
+            if held is not None:
+                yield Tokens(held, begins, False, 0 if begins else order - 1)
+                begins = False
+            held = part
+        yield Tokens(held, begins, True, 0 if begins else order - 1)
 
     def indices(self, model: Model, values: bool) -> Iterator[tuple[np.ndarray, ...]]:
         """Of each level from the first: index of the n-gram that ends at each token, share and weight; of the first, index and count."""
@@ -73,7 +86,7 @@ class Tokens:
 
     def before(self, index: np.ndarray, start: int) -> np.ndarray:
         """Of each token, the index at the one before; start at a document's first."""
-        out = np.empty_like(index)
+        out = np.full_like(index, -1)  # a run's first word has no context here, and is not its own
         out[1:] = index[:-1]
         out[self.first] = start
         return out
@@ -129,14 +142,15 @@ def _merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(counts, at)
 
 
-def _counted(docs: DataFrame, pairs: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], start: Callable[[], None], write: Callable[[int, np.ndarray, np.ndarray], None]) -> dict[int, tuple[int, int]]:
+def _counted(docs: DataFrame, cfg: LanguageConfig, pairs: Callable[[Tokens], tuple[np.ndarray, np.ndarray]], start: Callable[[], None], write: Callable[[int, np.ndarray, np.ndarray], None]) -> dict[int, tuple[int, int]]:
     """Counts what pairs() finds in the texts, has each shard written, and returns its number of keys and their count: one row a shard comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start()
         counter = _Counter()
         for b in C.slices(batches, "text"):
-            yield from counter.add(*pairs(b.column("text")))
+            for tokens in Tokens.of(b.column("text"), cfg.order):
+                yield from counter.add(*pairs(tokens))
         yield from counter.out()
 
     def merge(t: pa.Table) -> pa.Table:
@@ -145,7 +159,7 @@ def _counted(docs: DataFrame, pairs: Callable[[pa.Array], tuple[np.ndarray, np.n
         write(shard, keys, counts)
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
 
-    rows = docs.select("text").mapInArrow(count, "shard int, keys binary, counts binary").groupBy("shard").applyInArrow(merge, "shard int, n long, total long").collect()
+    rows = C.bounded(docs).select("text").mapInArrow(count, "shard int, keys binary, counts binary").groupBy("shard").applyInArrow(merge, "shard int, n long, total long").collect()
     return {r["shard"]: (r["n"], r["total"]) for r in rows}
 
 
@@ -157,33 +171,35 @@ def build(docs: DataFrame, cfg: LanguageConfig) -> Model:
     system.create_dir(path, recursive=True)
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        hashes = Tokens(column).hash
+    def words(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        hashes = tokens.hash[tokens.own]
         return eftrie.shard_of(hashes, shards), hashes
 
-    found = _counted(docs, words, lambda: None, lambda s, keys, counts: eftrie.write(uri, f"words-{s}", {"hash": keys, "count": counts}))
+    found = _counted(docs, cfg, words, lambda: None, lambda s, keys, counts: eftrie.write(uri, f"words-{s}", {"hash": keys, "count": counts}))
     sizes = [found.get(s, (0, 0)) for s in range(shards)]
     model = Model(eftrie.Vocabulary(uri, [n for n, _ in sizes], sum(c for _, c in sizes)), [])
     known = sum(model.vocabulary.sizes)
     contexts = known + 1  # the last is the start of a document
     for n in range(2, cfg.order + 1):
         width = max(1, -(-contexts // shards))
+        if width * (known + 1) >= 2**63:
+            raise OverflowError(f"{width} contexts of a shard by {known} words are over 2^63 keys; more shuffle partitions make more shards")
         below = Model(eftrie.Vocabulary(uri, model.vocabulary.sizes, model.vocabulary.total), list(model.levels))
         name = f"level{n}"
 
-        def ngrams(column: pa.Array, below=below, width=width, n=n) -> tuple[np.ndarray, np.ndarray]:
-            tokens = Tokens(column)
+        def ngrams(tokens: Tokens, below=below, width=width, n=n) -> tuple[np.ndarray, np.ndarray]:
             found = list(tokens.indices(below, values=False))
             word = found[0][0]
             context = tokens.before(found[-1][0], below.vocabulary.size if n == 2 else -1)
             keep = (context >= 0) & (word >= 0)
+            keep[: tokens.own.start] = False
             shard = context[keep] // width
             return shard, (context[keep] - shard * width).astype(np.uint64) * U(below.vocabulary.size + 1) + word[keep].astype(np.uint64)
 
         def put(s: int, keys: np.ndarray, counts: np.ndarray, width=width, name=name) -> None:
             eftrie.build_shard(uri, f"{name}-{s}", keys, counts, known, width, cfg.discount)
 
-        found = _counted(docs, ngrams, lambda below=below: below.open() and None, put)
+        found = _counted(docs, cfg, ngrams, lambda below=below: below.open() and None, put)
         sizes = [found.get(s, (0, 0))[0] for s in range(shards)]
         model.levels.append(eftrie.Level(uri, name, known, contexts, width, sizes))
         contexts = max(1, sum(sizes))
@@ -195,21 +211,24 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model.open()
-        total, size = model.vocabulary.total, model.vocabulary.size
+        total, size, order = model.vocabulary.total, model.vocabulary.size, len(model.levels) + 1
         for b in C.slices(batches, "text"):
-            tokens = Tokens(b.column("text"))
-            levels = tokens.indices(model, values=True)
-            _, count = next(levels)
-            p = (count + 1) / (total + size + 1)
-            starts = tokens.last - tokens.count + 1
-            base = np.add.reduceat(np.log10(p), starts)
-            for _, share, weight in levels:
-                p = share + weight * p
-            score = np.add.reduceat(np.log10(p), starts)
-            known = np.add.reduceat((count > 0).astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(tokens.count, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(known), total), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            sums = np.zeros((b.num_rows, 4))
+            for tokens in Tokens.of(b.column("text"), order):
+                levels = tokens.indices(model, values=True)
+                _, count = next(levels)
+                p = (count + 1) / (total + size + 1)
+                each = [np.ones(len(p)), count > 0, np.log10(p)]
+                for _, share, weight in levels:
+                    p = share + weight * p
+                each.append(np.log10(p))
+                # documents have a token at least, so that sums by document never run empty; a run is one document's
+                starts = tokens.last - tokens.count + 1 if b.num_rows > 1 else np.zeros(1, np.int64)
+                sums += np.stack([np.add.reduceat(x[tokens.own].astype(float), starts) for x in each], axis=1)
+            count, known, base, score = sums.T
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(count.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(known), total), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return C.bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def held_out(name: str = "doc_id"):

@@ -121,20 +121,53 @@ def test_substrings_rest_on_the_automaton(monkeypatch, everywhere):
     assert marks() != right
 
 
-def test_long_texts(spark, monkeypatch):
-    """Texts of many runs give what they give whole; the runs are shortened instead of the texts lengthened."""
+def test_long_texts(spark):
+    """Texts of several runs (over 1 MB) against brute force."""
     r = random.Random(6)
-    prose = lambda n: " ".join(r.choice(["a", "bb", "ccc", "é", "X"]) + str(r.randrange(50)) for _ in range(n))
-    shared = prose(300)
-    rows = [(1, prose(700) + " " + shared), (2, shared + "\n" + prose(500) + "\t "), (3, "w" * 3000 + " x"), (4, "w" * 5000), (5, prose(30))]
-    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    prose = lambda n: " ".join(r.choice(["ab", "bb", "ccc", "é", "X"]) + str(r.randrange(90)) for _ in range(n))
+    shared = prose(150_000)
+    texts = [prose(200_000) + " " + shared, shared + "\n" + prose(190_000) + "\t ", "w" * 300_000 + " x", prose(30)]
+    assert min(map(len, texts[:2])) > 1.2 * C.SLICE_BYTES
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got, seen = _rows(substrings.dedup(df)), set()
+    for i, w in enumerate(t.split() for t in texts):
+        gone = np.zeros(len(w) + 1, int)
+        for k in range(len(w) - 19):
+            if (key := tuple(w[k : k + 20])) in seen:
+                gone[k : k + 20] = 1
+            seen.add(key)
+        kept = " ".join(x for x, g in zip(w, gone, strict=False) if not g)
+        assert (got[i]["n_words"], got[i]["n_removed"]) == (len(w), gone.sum()) and got[i]["kept"] == kept
+    linked = _rows(minhash.linked(df, minhash.QUERY))
+    lower = [t.lower().split() for t in texts]
+    assert [linked[i]["n_shingles"] for i in range(4)] == [len({tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))}) for w in lower]
     model = scoring.build(df, scoring.LanguageConfig())
-    take = lambda: [sorted(map(repr, x.collect())) for x in (substrings.dedup(df), minhash.linked(df, minhash.QUERY).drop("kept"), scoring.scored(df, model), packing.pieces(df, packing.PackConfig()))]
-    whole = take()
-    for x in (C.runs, C.slices):
-        monkeypatch.setattr(x, "__defaults__", (*x.__defaults__[:-1], 512))
-    assert len(list(C.runs(pa.array([rows[0][1]]), 4))) > 5
-    assert take() == whole
+    one = Counter(x for t in texts for x in [*t.lower().split(), None])
+    total = sum(one.values())
+    scored = _rows(scoring.scored(df, model))
+    for i, t in enumerate(texts):
+        base = sum(math.log10((one[x] + 1) / (total + len(one) + 1)) for x in [*t.lower().split(), None])
+        assert scored[i]["n_tokens"] == len(t.split()) + 1 and scored[i]["base_score"] == pytest.approx(base, rel=1e-9) and scored[i]["score"] > base
+    pieces = defaultdict(int)
+    for x in packing.pieces(df, packing.PackConfig()).collect():
+        pieces[x["doc_id"]] += x["length"]
+    tokenizer = packing.Encoder(packing.PackConfig().path()).tokenizer
+    assert pieces == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_runs_of_tokens(monkeypatch):
+    """The contexts at the edges of runs, and the encoding of parts, against the whole."""
+    text = " ".join(f"w{i % 7} x" for i in range(300)) + " \u00a0 \u00a0b  end\n\n"
+    column = pa.array([text])
+    (whole,) = scoring.Tokens.of(column, 3)
+    monkeypatch.setattr(C.runs, "__defaults__", (0, 50))
+    parts = list(scoring.Tokens.of(column, 3))
+    assert len(parts) > 10 and [len(p.first[p.own]) for p in parts] and sum(p.first.sum() for p in parts) == 1
+    assert np.concatenate([p.hash[p.own] for p in parts]).tolist() == whole.hash.tolist()
+    encoder = packing.Encoder(packing.PackConfig().path())
+    ids = encoder.ids(column)[1].tolist()
+    monkeypatch.setattr(C, "SLICE_BYTES", 20)
+    assert encoder.ids(column)[1].tolist() == ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("after", [0, 2, 19])

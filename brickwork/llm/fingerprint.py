@@ -107,12 +107,14 @@ def _compared(made: DataFrame) -> DataFrame:
     """SCHEMA and group_id of rows with the forms of buckets' documents; forms are compared with the first's."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     first = made.where("leads").groupBy("fingerprint").agg(F.first("form").alias("first_form"), F.first("doc_id").alias("group_id"))
-    # written, so that the join is of two tables and can be split at a large bucket
-    joined = made.where("form IS NOT NULL").join(C.written(first, "fingerprint-firsts"), "fingerprint")
-    same = joined.where("form = first_form").select(*names, "group_id")
-    apart = joined.where("form <> first_form").drop("group_id")
-    least = apart.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("group_id"))
-    other = apart.join(least, ["fingerprint", "form"]).withColumn("fingerprint", F.concat_ws("-", "fingerprint", F.sha2("form", 256)))
+    # a sort-merge join of two tables, which Spark splits at a large bucket; forms go no further than it
+    firsts = C.written(first, "fingerprint-firsts").hint("merge")
+    differs = F.when(F.col("form") != F.col("first_form"), F.sha2("form", 256))
+    compared = C.written(made.where("form IS NOT NULL").join(firsts, "fingerprint").select(*names, "group_id", differs.alias("own")), "fingerprint-compared")
+    same = compared.where("own IS NULL").select(*names, "group_id")
+    apart = compared.where("own IS NOT NULL").drop("group_id")
+    least = apart.groupBy("fingerprint", "own").agg(F.min("doc_id").alias("group_id"))
+    other = apart.join(least, ["fingerprint", "own"]).withColumn("fingerprint", F.concat_ws("-", "fingerprint", "own"))
     alone = made.where("form IS NULL").select(*names, F.col("doc_id").alias("group_id"))
     return alone.unionByName(same).unionByName(other.select(*names, "group_id"))
 

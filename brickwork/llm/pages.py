@@ -13,14 +13,15 @@ element holds most of the text.
 Noise goes by element (navigation, scripts) and by whole class words. Comments, adverts and the like vary
 from page to page, so entropy can't tell them, and their word alone decides. Words of what a site repeats
 (menus, notices, shares) and forms are taken for noise only if the tree confirms it (below `beside`);
-without evidence a word decides outside of article and main only, a form everywhere, and neither if
-nothing would be left. Ids say nothing of noise. An article or main element starts anew without the
+without evidence a word decides outside of article and main only, and if it doesn't mark most of the text,
+a form everywhere, and neither if nothing would be left. Ids say nothing of noise. An article or main element starts anew without the
 noise around it; an article inside what is noise for sure counts only if the page has no other text.
 
 Defined results: null and empty pages have an empty text; a host with fewer than `pages` pages of
 different content has no evidence and removes nothing by entropy; a null url is the host ""; repeated
 rows count as one page and are each returned; white space is what str.split takes for it; `br` is
-white space; further columns are ignored; an empty table gives no rows.
+white space; further columns are ignored; an empty table gives no rows; rows without page_id are each
+returned. A host lists at most (blocks a page) * pages ** (1 - common) repeated texts, and its branches.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ class StyleConfig:
     broadcast_rows: int = 100_000
 
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A quote opens a value only after "=", and only if the one that closes it ends the value; any other is a plain character, which ">" ends with the tag.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*"[^"]*"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|[^>])*+)>|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg math".split())
@@ -147,7 +149,7 @@ class Page:
         style = name
         if names:
             style += "." + _DIGITS.sub("0", names)
-        if len(children) < 200 and not (children and children[-1] == style):
+        if not (children and children[-1] == style):
             children.append(style)
         if name in _MAIN:
             main = 1 if name == "main" else 2 if noise == SURE or main == 2 else 1
@@ -199,7 +201,7 @@ def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
                 features.append([{"path": p, "kind": k, "feature": f} for p, k, f in [(0, 2, 0), *found]])
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(whole, pa.binary()), pa.array(features, pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64())])))], names=["host", "whole", "features"])
 
-    each = pages.select("url", "html").mapInArrow(run, "host string, whole binary, features array<struct<path:long,kind:int,feature:long>>").dropDuplicates(["host", "whole"])
+    each = C.bounded(pages).select("url", "html").mapInArrow(run, "host string, whole binary, features array<struct<path:long,kind:int,feature:long>>").dropDuplicates(["host", "whole"])
     rows = each.select("host", F.inline("features"))
     counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).cast("double").alias("c"))
     node = counted.groupBy("host", "path").agg(
@@ -232,7 +234,11 @@ def main_text(html: str, low: Mapping[int, float], cfg: StyleConfig | None = Non
 
 def _chosen(blocks: list[tuple[str, str, int, int]], low: Mapping[int, float], cfg: StyleConfig) -> list[tuple[str, str, int, int]]:
     if not low:
-        blocks = [b for b in blocks if not b[2] or (b[2] == WORD and b[3])] or blocks
+        sound = [b for b in blocks if not b[2] or (b[2] == WORD and b[3])]
+        by_word = [b for b in blocks if not b[2] or b[2] == WORD]
+        # boilerplate seldom is most of a page: then the word is no sign of it
+        held = 2 * sum(len(b[1]) for b in sound) >= sum(len(b[1]) for b in by_word)
+        blocks = (sound if held else by_word) or blocks
         inside = [b for b in blocks if b[3]]
         most = 2 * sum(len(b[1]) for b in inside) >= sum(len(b[1]) for b in blocks)
         return inside if inside and most else blocks
@@ -268,7 +274,8 @@ def extract(pages: DataFrame, cfg: StyleConfig | None = None) -> DataFrame:
     # the host's less important branches and texts, and the 0 that tells that there is evidence
     low = C.checkpoint(tree.where((F.col("importance") < max(cfg.least, cfg.held, cfg.beside)) | (F.col("path") == 0)))
     lists = low.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("path", "importance"))).alias("low"))
-    lists = F.broadcast(lists) if low.count() <= cfg.broadcast_rows else lists
+    # else written, so that the join is of two tables and can be split at a large host
+    lists = F.broadcast(lists) if low.count() <= cfg.broadcast_rows else C.written(lists, "styles")
     rows = pages.select("page_id", "url", "html").withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -330,6 +330,49 @@ def test_pages(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p title=it's>Hello world</p><p>second</p><p>don't go</p><p>last</p>", "Hello world\nsecond\ndon't go\nlast"),
+    ('<p title="5" inch">Hello</p><p class="x">two</p>', "Hello\ntwo"),
+    ('<p title="open>Hello</p><p class="x">two</p>', "Hello\ntwo"),
+    ("<p title='a > b' class=\"c\">Hello</p><p title = \"x>y\"/>two", "Hello\ntwo"),
+    ('<div class="social history">A chapter of it</div><p>next</p>', "A chapter of it\nnext"),
+])
+def test_pages_with_odd_attributes(page, text):
+    assert pages.main_text(f"<html><body>{page}</body></html>", {}) == text
+
+
+def test_style_tree_against_brute_force(spark):
+    """Importances of 100 pages of two hosts from plain counts of blocks and child styles; a node has over 200 children."""
+    r = random.Random(12)
+    rows = []
+    for i in range(100):
+        wide = "".join(f"<p class='k{chr(97 + j % 26)}{chr(97 + j // 26)}'>x</p>" for j in range(230)) if i % 50 < 2 else ""
+        kind = r.choice(["<ul><li>own {0}</li></ul>", "<p>own {0}</p>", "<div><b>same</b></div>"])
+        rows.append((i, f"http://h{i % 2}/{i}", f"<body><div class='top'><p>menu</p></div><div class='text'>{kind.format(i)}<p>{r.choice(['a', 'b', i])}</p>{wide}</div></body>"))
+    got = {(x["host"], x["path"]): x["importance"] for x in pages.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string"), pages.StyleConfig()).collect()}
+    for h in ("h0", "h1"):
+        parsed = [pages.Page(html) for _, url, html in rows if url.startswith(f"http://{h}/")]
+        parsed = list({(frozenset(b[:2] for b in p.blocks), frozenset(p.styles)): p for p in parsed}.values())  # equal pages count once
+        blocks, styles = defaultdict(Counter), defaultdict(Counter)
+        for page in parsed:
+            for path, text in {(b[0], b[1]) for b in page.blocks}:
+                blocks[path][text] += 1
+            for path, style in set(page.styles):
+                styles[path][style] += 1
+        m = math.log(len(parsed))
+        assert max(len(s.split()) for x in styles.values() for s in x) > 200
+        for path in {*blocks, *styles}:
+            content = 1 - sum(c * math.log(c) for c in blocks[path].values()) / sum(blocks[path].values()) / m if blocks[path] else None
+            n = sum(styles[path].values())
+            style = sum(c / n * math.log(n / c) for c in styles[path].values()) / m if n else None
+            wanted = 1.0 if content is None else content if style is None else 0.1 * style + 0.9 * content
+            assert got[h, pages._id(path)] == pytest.approx(wanted, abs=1e-9)
+        for path, texts in blocks.items():
+            for text, c in texts.items():
+                if 1 - math.log(c) / m < 0.5 and c > 1:
+                    assert got[h, pages._text_id(path, text)] == pytest.approx(1 - math.log(c) / m, abs=1e-9)
+
+
 def test_pages_tree_decides_inside_and_beside_an_article(spark):
     share, body = "Share this with all of your friends", "<h1>Head {0}</h1><p>Own words of {0}</p>"
     inside = f"<body><article>{body}<p>{share}</p><div><p>Best offers</p></div></article></body>"

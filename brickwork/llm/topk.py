@@ -1,15 +1,16 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has a bit per dimension: 1 where the value is positive. Codes are cut into segments,
-each indexed by its value. In round r, a query asks every segment for the values at distance r from
-its own; after it, all codes within `segments * (r + 1) - 1` bits have been met, because one that is
-nearer differs by at most r bits in some segment. A query is done when its k-th verified distance is
-covered so; the others widen their radius.
+A vector's code has a bit per dimension: 1 where the value is positive. Codes are cut into even segments
+of at most 16 bits, each indexed by its value. In round r, a query asks every segment for the values at
+distance r from its own; after it, all codes within `segments * (r + 1) - 1` bits have been met, because
+one that is nearer differs by at most r bits in some segment. A query is done when its k-th verified
+distance is covered so; the others widen their radius. Radii 0 and 1 are one round.
 
 Equal codes are one entry with the k least ids, which is all that a top-k with ties by id can use.
 Defined results: null vectors and ids are left out; a null component is 0; vectors of different
 lengths are filled with zero bits; ties go to the smaller id; a query is its own nearest row; with
-fewer than k rows all are returned; vectors of over 64 dimensions raise; repeated rows are found each; an empty table gives no rows.
+fewer than k rows all are returned; repeated rows are found each; further columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from brickwork.llm import common as C
 
-BITS = 64
+#: A word of a code: a long's bits.
+WORD = 64
 
 
 @dataclass(frozen=True)
@@ -35,37 +37,43 @@ class SearchConfig:
     every: int = 100
 
 
-def code(vector: str) -> Column:
-    """The signs as a long, bit i for dimension i; longer vectors raise."""
-    whole = F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"vectors of over {BITS} dimensions are not searched")).cast("array<double>")).otherwise(F.col(vector))
-    bit = F.transform(whole, lambda x: F.when(x > 0, 1).otherwise(0).cast("long"))
-    return F.aggregate(F.reverse(bit), F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
+def coded(rows: DataFrame, vector: str, bits: int, cuts: list[int], *names: str) -> DataFrame:
+    """names, code (the signs in longs, 64 dimensions each) and segments (the bits between cuts as numbers)."""
+    signs = rows.select(*names, F.transform(F.concat(F.transform(F.col(vector), lambda x: F.coalesce(x, F.lit(0)) > 0), F.array_repeat(F.lit(False), bits - F.size(vector))), lambda x: x.cast("long")).alias("signs"))
 
+    def number(a: int, b: int) -> Column:
+        return F.aggregate(F.reverse(F.slice("signs", a + 1, b - a)), F.lit(0).cast("long"), lambda n, x: F.shiftleft(n, 1).bitwiseOR(x))
 
-def segments_for(codes: int) -> int:
-    """Segments of about log2(codes) bits, as multi-index hashing wants; at most 16 bits, so that their values can be enumerated."""
-    bits = min(16, max(4, round(math.log2(max(codes, 2)))))
-    return -(-BITS // bits)
+    words = F.array(*[number(a, min(a + WORD, bits)) for a in range(0, bits, WORD)])
+    return signs.select(*names, words.alias("code"), F.array(*[number(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]).alias("segments"))
+
+
+def segment_cuts(codes: int, bits: int) -> list[int]:
+    """The edges of even segments of about log2(codes) bits, as multi-index hashing wants; at most 16 bits, so that their values can be enumerated."""
+    m = -(-bits // min(16, max(4, round(math.log2(max(codes, 2))))))
+    return [bits * s // m for s in range(m + 1)]
 
 
 def search(vectors: DataFrame, queries: DataFrame, cfg: SearchConfig | None = None, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, neighbour_id and distance: the k rows of vectors nearest to each row of queries."""
     cfg = cfg or SearchConfig()
-    full = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull())
-    entries = C.checkpoint(full.select(code(vector).alias("code"), F.col(key).cast("long").alias("id")).transform(_distinct, cfg.k))
-    asked = C.checkpoint(queries.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("query_id"), code(vector).alias("q")))
-    m = segments_for(entries.count())
-    width = -(-BITS // m)
-    mask = (1 << width) - 1
-    parts = F.array(*[F.struct(F.lit(s).alias("segment"), F.shiftrightunsigned("code", s * width).bitwiseAND(F.lit(mask).cast("long")).alias("value")) for s in range(m)])
-    index = C.checkpoint(entries.select("code", "ids", F.explode(parts).alias("x")).select("code", "ids", "x.segment", "x.value"))
-    open_ = asked.select("q").distinct()
+    rows, asking = (x.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")) for x in (vectors, queries))
+    n, bits = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    bits = max(bits or 0, asking.agg(F.max(F.size("vector"))).first()[0] or 0, 1)
+    cuts = segment_cuts(n, bits)
+    m, width = len(cuts) - 1, max(b - a for a, b in zip(cuts, cuts[1:], strict=False))
+    entries = C.checkpoint(coded(rows, "vector", bits, cuts, "id").transform(_distinct, cfg.k))
+    asked = C.checkpoint(coded(asking, "vector", bits, cuts, "id").withColumnsRenamed({"id": "query_id", "code": "q"}))
+    index = C.checkpoint(entries.select("code", "ids", F.posexplode("segments").alias("segment", "value")))
+    open_ = asked.select("q", "segments").distinct()
     best = None
     done: list[DataFrame] = []
-    for r in range(width + 1):
-        probes = open_.mapInArrow(lambda batches, r=r: _probes(batches, r, m, width), "q long, segment int, value long")
+    for r in range(1, max(width, 1) + 1):
+        radii = (0, 1) if r == 1 else (r,)
+        probes = open_.mapInArrow(lambda batches, radii=radii: _probes(batches, radii, cuts), "q array<long>, segment int, value long")
         met = probes.join(index, ["segment", "value"]).select("q", "code", "ids").dropDuplicates(["q", "code"])
-        met = met.select("q", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"), "code", "ids")
+        apart = sum((F.bit_count(F.get("q", F.lit(i)).bitwiseXOR(F.get("code", F.lit(i)))) for i in range(-(-bits // WORD))), F.lit(0))
+        met = met.select("q", apart.alias("distance"), "code", "ids")
         best = met if best is None else best.unionByName(met).dropDuplicates(["q", "code"])
         best = C.checkpoint(_nearest(best, cfg.k))
         # the k-th distance counts the ids of equal codes
@@ -82,14 +90,14 @@ def search(vectors: DataFrame, queries: DataFrame, cfg: SearchConfig | None = No
         found = found.unionByName(more)
     flat = found.select("q", "distance", F.explode("ids").alias("neighbour_id"))
     ordered = flat.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "neighbour_id"))), 1, cfg.k).alias("x"))
-    rows = asked.join(ordered, "q").select("query_id", F.posexplode("x").alias("rank", "x"))
-    return rows.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.neighbour_id", F.col("x.distance").cast("int").alias("distance"))
+    out = asked.join(ordered, "q").select("query_id", F.posexplode("x").alias("rank", "x"))
+    return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.neighbour_id", F.col("x.distance").cast("int").alias("distance"))
 
 
 def _distinct(rows: DataFrame, k: int) -> DataFrame:
-    """(code, ids): the k least ids of each code. k is a limit of the feature; Spark applies it before the shuffle too."""
+    """(code, segments, ids): the k least ids of each code. k is a limit of the feature; Spark applies it before the shuffle too."""
     w = Window.partitionBy("code").orderBy("id")
-    return rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    return rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).groupBy("code").agg(F.first("segments").alias("segments"), F.sort_array(F.collect_list("id")).alias("ids"))
 
 
 def _nearest(rows: DataFrame, k: int) -> DataFrame:
@@ -101,18 +109,15 @@ def _nearest(rows: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k).drop("before", "rank")
 
 
-def _probes(batches: Iterator[pa.RecordBatch], r: int, m: int, width: int) -> Iterator[pa.RecordBatch]:
-    """The segment values at distance r from each query's."""
-    masks = {}
-    for bits in {min(width, BITS - s * width) for s in range(m)}:
-        masks[bits] = np.array([sum(1 << b for b in c) for c in combinations(range(bits), r)], np.int64)
+def _probes(batches: Iterator[pa.RecordBatch], radii: tuple[int, ...], cuts: list[int]) -> Iterator[pa.RecordBatch]:
+    """The segment values at the radii from each query's."""
+    sizes = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+    masks = {bits: np.array([sum(1 << b for b in c) for r in radii for c in combinations(range(bits), r)], np.int64) for bits in set(sizes)}
     for b in batches:
-        for q in b.column("q").to_pylist():
-            for s in range(m):
-                near = masks[min(width, BITS - s * width)]
-                if len(near):
-                    value = ((q & (2**64 - 1)) >> (s * width)) & ((1 << width) - 1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), q, np.int64)), pa.array(np.full(len(near), s, np.int32)), pa.array(near ^ value)], names=["q", "segment", "value"])
+        for i, segments in enumerate(b.column("segments").to_pylist()):
+            value = np.concatenate([masks[size] ^ own for size, own in zip(sizes, segments, strict=True)])
+            segment = np.repeat(np.arange(len(sizes), dtype=np.int32), [len(masks[size]) for size in sizes])
+            yield pa.RecordBatch.from_arrays([b.column("q").take(pa.array([i] * len(value))), pa.array(segment), pa.array(value)], names=["q", "segment", "value"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

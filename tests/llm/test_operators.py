@@ -199,10 +199,20 @@ def test_topk(spark):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
-def test_topk_raises_on_longer_vectors(spark):
-    df = spark.createDataFrame([(i, [1.0] * 64 + [float(i)]) for i in range(3)], "vec_id long, embedding array<float>")
-    with pytest.raises(Exception, match="over 64 dimensions"):
-        topk.search(df, df)
+@pytest.mark.parametrize("dimensions", [1, 5, 100, 200])
+def test_topk_of_all_components(spark, dimensions):
+    """Vectors of other lengths than a long's bits, shorter and null ones among them, that differ in the last dimensions only."""
+    r = np.random.default_rng(dimensions)
+    v = np.ones((80, dimensions))
+    v[:, -12:] = r.normal(size=(80, min(12, dimensions)))
+    rows = [(i, [float(x) for x in e]) for i, e in enumerate(v)] + [(200, [1.0]), (201, []), (202, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    bits = {i: [x > 0 for x in e] + [False] * (dimensions - len(e)) for i, e in rows if e is not None}
+    got = defaultdict(list)
+    for x in topk.search(df, df.where("vec_id IN (0, 7, 201)"), topk.SearchConfig(k=4)).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["distance"], x["neighbour_id"]))
+    for q in (0, 7, 201):
+        assert got[q] == sorted((sum(a != b for a, b in zip(bits[q], e, strict=True)), i) for i, e in bits.items())[:4]
 
 
 def test_packing(docs, empty):

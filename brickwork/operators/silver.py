@@ -35,7 +35,7 @@ def flatten(hits: DataFrame, url_template: str = "") -> DataFrame:
         h["completionStatus"].alias("completion_status"),
         h["agency"]["name"].alias("agency_name"),
         h["photoCount"].alias("photo_count"),
-        tables.scraped_at(h["_scraped_at"]).alias("scraped_at"),
+        tables.scraped_at(h["_scraped_at"], hits).alias("scraped_at"),
     )
 
 

@@ -36,24 +36,37 @@ def stage(store: tables.Store, run_id: str, name: str) -> Iterator[dict]:
     finally:
         try:
             row = [(run_id, name, began, datetime.now(UTC), status, json.dumps(stats), error)]
-            runs = store.read("pipeline_runs")
-            store.write("pipeline_runs", runs.unionByName(store.spark.createDataFrame(row, runs.schema)))
+            store.append("pipeline_runs", store.spark.createDataFrame(row, store.read("pipeline_runs").schema))
+            log.info("stage %s: %s", name, status, extra={"run_id": run_id, "stage": name, "status": status})
         except Exception:
             log.exception("stage %s could not be recorded", name)
 
 
 def run_pipeline(spark: SparkSession, cfg: EngineConfig, raw_dir: str, embed: vectors.Embedder | None = None) -> str:
-    """Bronze, silver, gold, features, groups and vectors; returns the run's id. The first failure ends the run."""
+    """Bronze, silver, gold, features, groups and vectors; returns the run's id. The first failure ends the run.
+
+    A run takes the files that no run has taken to silver, and archives them where cfg.archive names a folder.
+    """
     store, run_id = tables.Store(spark, cfg.root), new_run_id()
     with stage(store, run_id, "bronze") as stats:
-        hits = tables.read_hits(spark, raw_dir)
-        existing = store.read("bronze_listings")
-        new = bronze_rows(hits, existing, cfg.source, run_id)
-        stats["rows"] = store.write("bronze_listings", existing.unionByName(new)).count()
+        files = store.pending(raw_dir)
+        if not files and not store.exists("processed_files"):
+            raise FileNotFoundError(f"{raw_dir} has no files")
+        hits = tables.read_hits(spark, [f[0] for f in files]) if files else tables.parsed_hits(spark.createDataFrame([], "value string, file string, file_time timestamp"))
+        stats["files"] = len(files)
+        if files:
+            store.append("bronze_listings", bronze_rows(hits, store.read("bronze_listings"), cfg.source, run_id))
+        stats["rows"] = store.read("bronze_listings").count()
     with stage(store, run_id, "silver") as stats:
-        merged, reasons = silver.build(store.read("silver_listings"), hits, cfg.limits, cfg.url_template)
-        stats["rows"] = store.write("silver_listings", merged).count()
-        stats["rejected"] = {r["reason"]: r["count"] for r in reasons.collect()}
+        if files:
+            merged, reasons = silver.build(store.read("silver_listings"), hits, cfg.limits, cfg.url_template)
+            store.write("silver_listings", merged)
+            stats["rejected"] = {r["reason"]: r["count"] for r in reasons.collect()}
+            done = spark.createDataFrame([(name, time, run_id, datetime.now(UTC)) for _, name, time in files], store.read("processed_files").schema)
+            store.append("processed_files", done)
+            if cfg.archive:
+                stats["archived"] = store.archive([f[0] for f in files], cfg.archive)
+        stats["rows"] = store.read("silver_listings").count()
     with stage(store, run_id, "gold") as stats:
         current = store.read("silver_listings")
         dim = store.write("locations", resolve.locations(current, store.read("locations")))
@@ -64,7 +77,7 @@ def run_pipeline(spark: SparkSession, cfg: EngineConfig, raw_dir: str, embed: ve
         priced = properties.drop("current_price_egp").join(price.withColumnRenamed("property_id", "id"), "id", "left")
         store.write("properties", aggregates.price_outliers(priced, q=cfg.outlier_q))
         store.write("listings", listings)
-        store.write("price_history", store.read("price_history").unionByName(history))
+        store.append("price_history", history)
         stats["properties"] = properties.count()
     with stage(store, run_id, "features") as stats:
         rows = aggregates.feature_store(store.read("properties"), store.read("listings"), dim)
@@ -75,8 +88,8 @@ def run_pipeline(spark: SparkSession, cfg: EngineConfig, raw_dir: str, embed: ve
         known = before.agg(F.max("id")).first()[0] or 0
         groups = store.write("analysis_properties", analysis.groups(here, before))
         found = analysis.matches(here, groups, known, run_id)
-        old = store.read("property_analysis_matches")
-        stats["rows"] = store.write("property_analysis_matches", tables.upserted(old, found, ["run_id", "external_id"])).count()
+        # keyed by this run's id, so that no row can be there yet
+        stats["rows"] = store.append("property_analysis_matches", found).count()
     with stage(store, run_id, "vectors") as stats:
         build_vectors(store, cfg, embed)
         stats["rows"] = store.read("property_vectors").count()

@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brickwork.config import EngineConfig
 from brickwork.operators import silver
-from brickwork.schemas import HIT_DDL
 from brickwork.sources import tables
 
 
@@ -17,8 +16,7 @@ def hits(spark: SparkSession, folder: str, archive: str | None = None) -> DataFr
     reader = spark.readStream.format("text")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    lines = reader.load(folder).where(F.trim("value") != "")
-    return lines.select(F.col("value").alias("raw_data"), F.from_json("value", HIT_DDL, {"mode": "FAILFAST"}).alias("hit"))
+    return tables.parsed_hits(reader.load(folder).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("file_time")))
 
 
 def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, archive: str | None = None) -> StreamingQuery:
@@ -28,7 +26,7 @@ def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, arc
     def batch(df: DataFrame, _: int) -> None:
         df = df.persist()
         existing = store.read("bronze_listings")
-        store.write("bronze_listings", existing.unionByName(bronze_rows(df, existing, cfg.source, run_id)))
+        store.append("bronze_listings", bronze_rows(df, existing, cfg.source, run_id))
         merged, _reasons = silver.build(store.read("silver_listings"), df, cfg.limits, cfg.url_template)
         store.write("silver_listings", merged)
         df.unpersist()
@@ -39,7 +37,7 @@ def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, arc
 def bronze_rows(df: DataFrame, existing: DataFrame, source: str, run_id: str) -> DataFrame:
     """The rows of hits that bronze hasn't got, by (external_id, scraped_at)."""
     h = F.col("hit")
-    rows = df.select(tables.external_id(h["externalID"], h["id"]).alias("external_id"), F.lit(source).alias("source"), "raw_data", tables.scraped_at(h["_scraped_at"]).alias("scraped_at"), F.current_timestamp().alias("ingested_at"), F.lit(run_id).alias("run_id"))
+    rows = df.select(tables.external_id(h["externalID"], h["id"]).alias("external_id"), F.lit(source).alias("source"), "raw_data", tables.scraped_at(h["_scraped_at"], df).alias("scraped_at"), F.current_timestamp().alias("ingested_at"), F.lit(run_id).alias("run_id"))
     return tables.absent(rows.where("external_id IS NOT NULL"), existing, ["external_id", "scraped_at"], [F.asc("raw_data")])
 
 

@@ -201,7 +201,7 @@ def test_train_predict_is_registered_whole(spark, monkeypatch):
     monkeypatch.setattr(model, "train", lambda rows, cfg: given.append(cfg) or (_ for _ in ()).throw(InterruptedError))
     with pytest.raises(InterruptedError):
         catalogue.QUERIES["train_predict"](spark, "/root/testdata/sf0.001")
-    assert given == [ModelConfig()] and (given[0].models, given[0].folds, given[0].min_rows) == (("dummy", "ridge", "forest", "boosted"), 5, 1000)
+    assert given == [ModelConfig()] and (given[0].models, given[0].folds, given[0].min_rows) == (("dummy", "ridge", "forest", "hist", "boosted"), 5, 1000)
     forest, boosted = model._regressor("forest", given[0]), model._regressor("boosted", given[0])
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (300, 30, 2)
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (400, 0.05, 6)
@@ -218,8 +218,10 @@ def test_model_fits_forest_and_boosted(spark):
     for i in range(300):
         area, m2 = r.uniform(60, 400), r.uniform(8000, 12000)
         rows.append((i, area * m2, m2, "", 1, r.choice(["Apartment", "Villa"]), r.choice("xyz"), r.choice(["a", None]), float(r.randint(0, 5)), 1.0, area, r.randint(1, 19), m2, False))
-    fitted = model.train(spark.createDataFrame(rows, TRAINING), ModelConfig(models=("dummy", "forest", "boosted"), folds=2, min_rows=100, trees=3, depth=4, rounds=2))
-    assert fitted.kind in ("forest", "boosted") and set(fitted.metrics["cv_r2"]) == {"dummy", "forest", "boosted"}
+    fitted = model.train(spark.createDataFrame(rows, TRAINING), ModelConfig(models=("dummy", "forest", "hist", "boosted"), folds=2, min_rows=100, trees=3, depth=4, rounds=2))
+    assert fitted.kind in ("forest", "hist", "boosted") and set(fitted.metrics["cv_r2"]) == {"dummy", "forest", "hist", "boosted"}
+    top = model.importances(fitted, 3)
+    assert len(top) == 3 and top[0][1] >= top[1][1] >= top[2][1] > 0 and "area_m2" in [n for n, _ in model.importances(fitted)]
 
 
 def test_search(spark):

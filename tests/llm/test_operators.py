@@ -440,6 +440,32 @@ def test_secrets(docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secrets_recall_of_random_tokens(spark):
+    """Random tokens of several encodings and lengths are found, identifiers and words with numbers are not."""
+    r = random.Random(21)
+    letters = [string.ascii_letters + string.digits, "0123456789ABCDEF", string.ascii_lowercase + string.digits, string.ascii_uppercase + "234567"]
+    tokens = [t for t in ("".join(r.choices(r.choice(letters), k=r.choice([24, 32, 40, 64]))) for _ in range(600)) if re.search("[0-9]", t) and re.search("[A-Za-z]", t) and not re.search("[0-9a-f]{32}", t)]
+    words = ["customer", "order", "value", "index", "total", "report", "summary", "section", "chapter"]
+    others = ["_".join(r.choices(words, k=4)) + str(r.randrange(100)) for _ in range(1500)] + [f"{r.choice(words)}{i:06d}{r.choice(words)}{i:06d}" for i in range(500)]
+    rows = [(i, f"see {t} there") for i, t in enumerate([*tokens, *others])]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("spans <> ''").select("doc_id", "spans").collect()
+    found = {x["doc_id"] for x in got}
+    assert sum(i in found for i in range(len(tokens))) >= 0.8 * len(tokens)
+    assert sum(i >= len(tokens) for i in found) <= 0.01 * len(others)
+    assert all(x["spans"] == f"random:4:{4 + len(tokens[x['doc_id']])}" for x in got if x["doc_id"] < len(tokens))
+
+
+def test_secrets_of_many_matches_and_clashing_names(spark):
+    """Places add up over several runs of matches."""
+    text = " é ".join(f"AKIA{i:016d}".replace("0", "Z") for i in range(1000))
+    df = spark.createDataFrame([(None, text, "r", "b", 1), (2, "clean", "r", "b", 1)], "doc_id long, text string, row string, base string, n_chars long")
+    got = {x["doc_id"]: x for x in secrets.scan(df).collect()}
+    spans = ",".join(f"access:{m.start()}:{m.end()}" for m in re.finditer("AKIA[A-Z0-9]+", text))
+    assert got[None]["n_access"] == 1000 and got[None]["spans"] == spans and got[2]["spans"] == ""
+    out = {x["doc_id"]: x for x in secrets.redact(df).collect()}
+    assert out[None]["text"] == " é ".join(["[SECRET]"] * 1000) and out[None]["n_chars"] == len(out[None]["text"]) and tuple(out[2]) == (2, "clean", "r", "b", 1)
+
+
 def _components(words, percent):
     sets = []
     for t in TEXTS:

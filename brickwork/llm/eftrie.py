@@ -6,13 +6,16 @@ and their words are one sequence, in which a word is sought relative to its cont
 give a short range, in which the successor of the low bits is the word or shows that it is missing.
 With each n-gram goes its quantised probability, with each context its quantised back-off weight.
 
-A level is cut by ranges of contexts into shards, one file each.
+A level is cut by ranges of contexts into shards, one file each; level one, the words by their hashes in
+monotone order, by ranges of hashes. Files of a local (or mounted) folder are mapped into memory; of any
+other store a worker holds HELD bytes of shards at most, those that it used last.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,20 +51,40 @@ def write(uri: str, name: str, arrays: dict[str, np.ndarray], **numbers: int) ->
     system.move(aside, f"{path}/{name}")
 
 
-def read(uri: str, name: str) -> dict | None:
-    """The arrays, mapped into memory where the folder is local, and the numbers; None if there is no such file."""
-    system, path = fs.FileSystem.from_uri(uri)
-    if system.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
-        return None
-    if isinstance(system, fs.LocalFileSystem):
-        raw = np.memmap(f"{path}/{name}", np.uint8, "r")
-    else:
-        with system.open_input_file(f"{path}/{name}") as f:
-            raw = np.frombuffer(f.read(), np.uint8)
-    size = int(np.argmax(raw[: 1 << 16] == 10)) + 1
-    head = json.loads(raw[:size].tobytes())
-    arrays = {k: raw[size + at : size + at + n * np.dtype(t).itemsize].view(t) for k, (t, n, at) in head.pop("arrays").items()}
-    return arrays | head
+#: Bytes of shards that a worker keeps where files can't be mapped.
+HELD = 256 << 20
+
+
+class Shards:
+    """The files of one level, opened when they are asked for."""
+
+    def __init__(self, uri: str, name: str, sizes: list[int]):
+        self.system, self.path = fs.FileSystem.from_uri(uri)
+        self.name, self.sizes = name, sizes
+        self.mapped = isinstance(self.system, fs.LocalFileSystem)
+        self.open: OrderedDict[int, tuple[dict, int]] = OrderedDict()
+
+    def get(self, s: int) -> dict | None:
+        """The arrays and numbers of shard s, and its Sequence; None if it is empty."""
+        if not self.sizes[s]:
+            return None
+        if s in self.open:
+            self.open.move_to_end(s)
+            return self.open[s][0]
+        path = f"{self.path}/{self.name}-{s}"
+        if self.mapped:
+            raw = np.memmap(path, np.uint8, "r")
+        else:
+            with self.system.open_input_file(path) as f:
+                raw = np.frombuffer(f.read(), np.uint8)
+        size = int(np.argmax(raw[: 1 << 16] == 10)) + 1
+        head = json.loads(raw[:size].tobytes())
+        part = {k: raw[size + at : size + at + n * np.dtype(t).itemsize].view(t) for k, (t, n, at) in head.pop("arrays").items()} | head
+        part["code"] = Sequence(part, part["n"], part["bits"])
+        self.open[s] = part, len(raw)
+        while not self.mapped and len(self.open) > 1 and sum(n for _, n in self.open.values()) > HELD:
+            self.open.popitem(last=False)
+        return part
 
 
 def encode(keys: np.ndarray, universe: int) -> tuple[dict[str, np.ndarray], int]:
@@ -136,14 +159,14 @@ class Sequence:
 
 @dataclass
 class Vocabulary:
-    """Level one: sorted 64-bit word hashes and counts, in shards by the hash's leading bits."""
+    """Level one: Elias-Fano coded 64-bit word hashes and their counts, in shards by the hash's leading bits."""
 
     uri: str
     sizes: list[int]
     total: int
 
     def open(self) -> Vocabulary:
-        self.parts = [read(self.uri, f"words-{s}") if n else None for s, n in enumerate(self.sizes)]
+        self.parts = Shards(self.uri, "words", self.sizes)
         self.offset = np.concatenate([[0], np.cumsum(self.sizes)])
         self.size = int(self.offset[-1])
         return self
@@ -154,15 +177,13 @@ class Vocabulary:
         index, count = np.full(len(some), -1), np.zeros(len(some), np.int64)
         shard = shard_of(some, len(self.sizes))
         edge = np.searchsorted(shard, np.arange(len(self.sizes) + 1))
-        for s, part in enumerate(self.parts):
+        for s in np.flatnonzero(np.diff(edge)).tolist():
             a, b = edge[s], edge[s + 1]
-            if part is None or a == b:
+            if (part := self.parts.get(s)) is None:
                 continue
-            known = part["hash"]
-            i = np.minimum(np.searchsorted(known, some[a:b]), len(known) - 1)
-            hit = known[i] == some[a:b]
-            index[a:b] = np.where(hit, i + self.offset[s], -1)
-            count[a:b] = np.where(hit, part["count"][i], 0)
+            rank = part["code"].find(some[a:b] - U(shard_start(s, len(self.sizes))))
+            index[a:b] = np.where(rank >= 0, rank + self.offset[s], -1)
+            count[a:b] = np.where(rank >= 0, part["count"][np.maximum(rank, 0)], 0)
         return index[inverse], count[inverse]
 
 
@@ -170,6 +191,18 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> U(32)) * U(shards) >> U(32)).astype(np.int64)
 
 
+def shard_start(s: int, shards: int) -> int:
+    """The least hash of a shard."""
+    return -(-(s << 32) // shards) << 32
+
+
+def build_words(uri: str, s: int, shards: int, hashes: np.ndarray, counts: np.ndarray) -> None:
+    """Writes one shard of level one from sorted distinct hashes and counts."""
+    start = shard_start(s, shards)
+    arrays, low = encode(hashes - U(start), shard_start(s + 1, shards) - start)
+    write(uri, f"words-{s}", arrays | {"count": counts}, n=len(hashes), bits=low)
+
+
 @dataclass
 class Level:
     """n-grams below `contexts` contexts, cut into shards of `width` contexts."""
@@ -182,8 +215,7 @@ class Level:
     sizes: list[int]
 
     def open(self) -> Level:
-        self.parts = [read(self.uri, f"{self.name}-{s}") if n else None for s, n in enumerate(self.sizes)]
-        self.codes = [Sequence(p, p["n"], p["bits"]) if p else None for p in self.parts]
+        self.parts = Shards(self.uri, self.name, self.sizes)
         self.offset = np.concatenate([[0], np.cumsum(self.sizes)])
         return self
 
@@ -204,11 +236,11 @@ class Level:
         first = np.flatnonzero(new)
         i_, s_, w_ = np.full(len(first), -1), np.zeros(len(first)), np.ones(len(first))
         edge = np.searchsorted(shard[first], np.arange(len(self.sizes) + 1))
-        for s, (part, code) in enumerate(zip(self.parts, self.codes, strict=True)):
+        for s in np.flatnonzero(np.diff(edge)).tolist():
             a, b = edge[s], edge[s + 1]
-            if part is None or a == b:
+            if (part := self.parts.get(s)) is None:
                 continue
-            rank = code.find(key[first[a:b]])
+            rank = part["code"].find(key[first[a:b]])
             i_[a:b] = np.where(rank >= 0, rank + self.offset[s], -1)
             if values:
                 s_[a:b] = np.where(rank >= 0, CODE[part["share"][np.maximum(rank, 0)]], 0)

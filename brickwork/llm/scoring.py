@@ -1,13 +1,15 @@
 """Language-model scores from an Elias-Fano n-gram trie of the corpus itself.
 
 Level by level, workers count n-grams by index and merge them by shard, each of which one task
-writes to the shared folder (spark.checkpoint.dir); scoring maps the files. An n-gram's probability is
+writes to the shared folder (spark.checkpoint.dir); the number of shards grows with the corpus, so that
+a shard does not. Scoring maps the files. An n-gram's probability is
 its discounted share in its context plus the context's back-off weight times the probability in the
 shorter context; a word alone has (c + 1) / (N + V + 1).
 
 Defined results: a null or empty text is the end token alone; without learnt documents every token is
 unknown; words are told by 64-bit hashes; rows without doc_id are not held out; repeated rows count
-and score each; further columns are ignored; an empty table gives no rows.
+and score each; further columns are ignored; an empty table gives no rows; long texts are counted and
+scored in runs that share a context. The shards' numbers of keys come to the driver.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ GATHERED = 1 << 20
 class LanguageConfig:
     order: int = 3
     discount: float = 0.75
+    #: Bytes of learnt text for each shard, which one task merges.
+    shard_bytes: int = 32 << 20
 
 
 @dataclass
@@ -169,13 +173,14 @@ def build(docs: DataFrame, cfg: LanguageConfig) -> Model:
     uri = uri if "://" in uri else f"file://{uri.removeprefix('file:')}"
     system, path = fs.FileSystem.from_uri(uri)
     system.create_dir(path, recursive=True)
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // cfg.shard_bytes))
 
     def words(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         hashes = tokens.hash[tokens.own]
         return eftrie.shard_of(hashes, shards), hashes
 
-    found = _counted(docs, cfg, words, lambda: None, lambda s, keys, counts: eftrie.write(uri, f"words-{s}", {"hash": keys, "count": counts}))
+    found = _counted(docs, cfg, words, lambda: None, lambda s, keys, counts: eftrie.build_words(uri, s, shards, keys, counts))
     sizes = [found.get(s, (0, 0)) for s in range(shards)]
     model = Model(eftrie.Vocabulary(uri, [n for n, _ in sizes], sum(c for _, c in sizes)), [])
     known = sum(model.vocabulary.sizes)

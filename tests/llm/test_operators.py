@@ -256,6 +256,25 @@ def test_elias_fano():
         assert eftrie.Sequence(arrays, len(keys), low).find(ask).tolist() == [where.get(int(k), -1) for k in ask]
 
 
+def test_shards_that_cannot_be_mapped(tmp_path, monkeypatch):
+    """Words of several shards are found alike where a worker holds one shard only."""
+    r = np.random.default_rng(5)
+    hashes = np.unique(r.integers(0, 2**64, 4000, dtype=np.uint64))
+    uri, shards = f"file://{tmp_path}", 7
+    shard = eftrie.shard_of(hashes, shards)
+    assert all(eftrie.shard_start(s, shards) <= int(h) < eftrie.shard_start(s + 1, shards) for h, s in zip(hashes, shard.tolist(), strict=True))
+    for s in range(shards):
+        eftrie.build_words(uri, s, shards, hashes[shard == s], np.arange(len(hashes))[shard == s])
+    ask = np.concatenate([hashes, r.integers(0, 2**64, 500, dtype=np.uint64)])
+    wanted = np.concatenate([np.arange(len(hashes)), np.full(500, -1)])
+    words = eftrie.Vocabulary(uri, np.bincount(shard, minlength=shards).tolist(), 1).open()
+    assert words.find(ask)[0].tolist() == wanted.tolist() and words.find(hashes)[1].tolist() == list(range(len(hashes)))
+    far = eftrie.Vocabulary(uri, words.sizes, 1).open()
+    monkeypatch.setattr(eftrie, "HELD", 1)
+    far.parts.mapped = False
+    assert far.find(ask)[0].tolist() == wanted.tolist() and len(far.parts.open) == 1
+
+
 def test_scoring(docs, empty):
     lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     tokens = {i: [*WORD.findall(lower(t)), None] for i, t in enumerate(TEXTS)}

@@ -36,7 +36,7 @@ BROADCAST_SOURCES = 200_000
 @dataclass(frozen=True)
 class MixConfig:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
-    block: int = 2000
+    block: int = 500
     #: Newton steps and bisections that a balance may take; more raise.
     steps: int = 200
     tolerance: float = 1e-7

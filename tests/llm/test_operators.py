@@ -658,15 +658,121 @@ def test_mixing_of_large_classes_and_clashing_names(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["__mix_"]["copies"] for r in got)
 
 
+def _slow_copies(rows, weights=(5.0, 2.0, 1.0)):
+    """Of each source its target, from the weights and three times its size."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(WORD.findall(text or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal, left, open_ = {}, float(sum(sizes.values())), list(order)
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        if not (above := [s for s in open_ if share[s] > 3 * sizes[s]]):
+            return goal | share
+        for s in above:
+            goal[s] = 3.0 * sizes[s]
+            left -= goal[s]
+            open_.remove(s)
+
+
 def test_pipeline(spark, tmp_path, docs):
+    """Each stage's rows against plain Python on its own input."""
     import corpus_pipeline
 
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(5, 60)], "doc_id long, quality int, toxic int")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    labels = [(i, 1, 0) for i in range(5, 40)]
-    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    assert [n.split("_")[0] for n, _ in corpus_pipeline.STAGES] == ["quality", "minhash", "secret", "source", "best"]
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert [n.split("_")[0] for n in names] == ["quality", "minhash", "secret", "source", "best"]
+    steps = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        steps.append(C.written(stage(spark, steps[-1], str(tmp_path)), name))
+    assert all(x.columns == docs.columns for x in steps[:-1])
+    texts = [[(r["doc_id"], r["text"], r["source"]) for r in x.collect()] for x in steps[:-1]]
+    # quality: the network's own probability, text by text
+    net = quality.learn(docs, labels, quality.QualityConfig())
+    own = lambda t: quality.scores(net, net.pairs(), np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[0]
+    assert 0 < len(texts[1]) < len(texts[0]) and {r[0] for r in texts[1]} == {r[0] for r in texts[0] if own(r[1]) >= 0.7}
+    # near-dedup: components of what came in
+    there = sorted(texts[1])
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()} for w in (WORD.findall((t or "").lower()) for _, t, _ in there)]
+    up = list(range(len(there)))
+    for i, j in ((i, j) for i in range(len(there)) for j in range(i)):
+        if sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            up = [up[j] if x == up[i] else x for x in up] if up[j] < up[i] else [up[i] if x == up[j] else x for x in up]
+    assert sorted(texts[2]) == [r for i, r in enumerate(there) if up[i] == i]
+    # secrets: base spans and the scan's own, replaced from the end
+    spans = {r["doc_id"]: r["spans"] for r in secrets.scan(steps[2]).collect()}
+    for (i, before, _), (j, after, _) in zip(sorted(texts[2]), sorted(texts[3]), strict=True):
+        edges = [tuple(map(int, s.split(":")[1:])) for s in spans[i].split(",") if s]
+        assert i == j and {(a, b) for a, _, b in _base_spans(before or "")} <= set(edges)
+        masked = list(before or "")
+        for a, b in edges:
+            masked[a:b] = ["\0"] * (b - a)
+        assert re.sub("\0+", "[SECRET]", "".join(masked)) == (after or "")
+    # mixing: targets, whole copies, nothing else
+    goal, taken = _slow_copies(texts[3]), Counter()
+    for _, t, source in texts[4]:
+        taken[source] += len(WORD.findall(t or ""))
+    copies = Counter(texts[4])
+    assert set(copies) <= set(texts[3]) and max(copies.values()) <= 3
+    longest = {s: max(len(WORD.findall(t or "")) for _, t, x in texts[3] if x == s) for s in goal}
+    assert all(abs(taken[s] - goal[s]) <= max(60, longest[s] / 2) for s in goal)
+    # packing: each row's tokens once, in sequences without gaps
+    tokenizer, bins, pieces = packing.Encoder(packing.PackConfig().path()).tokenizer, defaultdict(list), Counter()
+    for r in steps[-1].collect():
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+        pieces[r["doc_id"]] += r["length"]
+    wanted = Counter()
+    for i, t, _ in texts[4]:
+        wanted[i] += len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+    assert pieces == wanted
+    for rows in bins.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(rows)]).tolist()]
+        assert [o for o, _ in sorted(rows)] == ends[:-1] and ends[-1] <= 2048
     out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.count() > 0 and "sequence_id" in out.columns
+    assert sorted(map(repr, out.drop("sequence_id", "offset").collect())) == sorted(map(repr, steps[-1].drop("sequence_id", "offset").collect()))
+
+
+#: Names that the operators use inside.
+CLASHING = ["id", "h", "sh", "digest", "rep", "comp", "size", "n", "key", "keep", "row", "base", "tested", "spans", "cleaned", "form", "leads", "k2", "__id", "__place", "__size", "__mix", "__copy", "__part", "__score", "__digest"]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    """Rows without doc_id, source or text, repeated rows, ids with several texts, and columns with the operators' own names."""
+    rows = [(i, t, "a") for i, t in enumerate(TEXTS[5:14])] + [(None, TEXTS[5], None), (None, None, "b"), (None, TEXTS[9], "b"), (None, TEXTS[9], "b"), (3, TEXTS[8], "a"), (3, TEXTS[8], "a"), (3, "other words", None), (4, None, "a")]
+    kind = "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame([(*r, *["x"] * len(CLASHING)) for r in rows], kind).repartition(3).cache()
+
+
+@pytest.mark.parametrize("name", ["op1", "op3", "op4", "op5", "op7", "op8", "op9", "op10"])
+def test_hard_rows(spark, hard, name):
+    """Every row is there once, with its doc_id, and plain frames give the same."""
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    run = {
+        "op1": lambda d: substrings.dedup(d), "op3": lambda d: packing.pack(d).where("piece = 0").select("doc_id", "ids_crc32"), "op4": lambda d: scoring.scored(d, scoring.build(d, scoring.LanguageConfig())),
+        "op5": lambda d: fingerprint.with_edits(d), "op7": lambda d: secrets.scan(d), "op8": lambda d: minhash.linked(d), "op9": lambda d: quality.classify(d, labels),
+        "op10": lambda d: (lambda x: x.select("doc_id", F.col(x.columns[-1])["size"].alias("size"), F.col(x.columns[-1])["target"].alias("target")))(mixing.rated(d, lean=True)),
+    }[name]
+    ids = lambda d: Counter(r["doc_id"] for r in d.collect())
+    got = run(hard)
+    assert ids(got) == ids(hard)
+    plain = run(hard.select("doc_id", "text", "source"))
+    assert Counter(map(repr, got.collect())) == Counter(map(repr, plain.collect()))
+    assert run(hard.limit(0)).count() == 0
+
+
+def test_hard_rows_through_the_stages(spark, hard):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for stage in (lambda d: quality.keep(d, labels), minhash.keep, secrets.redact, mixing.mix):
+        got = stage(hard)
+        assert got.columns == hard.columns and got.count() > 0
+        assert all(r[c] == "x" for r in got.collect() for c in CLASHING)
+        assert stage(hard.limit(0)).count() == 0
+    kept = minhash.keep(hard).collect()
+    assert Counter(map(repr, kept)) == Counter(map(repr, minhash.keep(hard.repartition(7)).collect()))
 
 
 def test_every_operator_is_registered():

@@ -9,11 +9,12 @@ from brickwork.config import MatchConfig, ModelConfig, QualityLimits
 from brickwork.functions import documents, text
 from brickwork.functions.geo import haversine
 from brickwork.operators import aggregates, analysis, audit, matching, model, resolve, silver, vectors
+from brickwork.plans import cases
 from brickwork.plans import listing_view as lv
 from brickwork.sources import tables
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict = {**cases.QUERIES}
+ORACLES: dict[str, str] = {**cases.ORACLES}
 
 
 def query(sql: str | None):

@@ -1,10 +1,12 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has a bit per dimension: 1 where the value is positive. Codes are cut into even segments
-of at most 16 bits, each indexed by its value. In round r, a query asks every segment for the values at
-distance r from its own; after it, all codes within `segments * (r + 1) - 1` bits have been met, because
-one that is nearer differs by at most r bits in some segment. A query is done when its k-th verified
-distance is covered so; the others widen their radius. Radii 0 and 1 are one round.
+A vector's code has a bit per dimension: 1 where the value is positive. Codes are cut into m even segments
+of at most 16 bits, each indexed by its value. In round r, a query asks its segments for the values at
+distance r from its own. With all segments asked, all codes within m * (r + 1) - 1 bits have been met: one
+that is nearer differs by at most r bits in some segment. With the first a + 1 segments asked, and all in the
+rounds before, those within m * r + a bits have: one that is nearer differs by at most r bits in one of these, or
+by less than r in another. So a query whose k-th verified distance is d asks no more than d - m * r + 1 segments, and
+is done when d is covered; codes farther than d are dropped where they meet. Radii 0 and 1 are one round.
 
 Equal codes are one entry with the k least ids, which is all that a top-k with ties by id can use.
 Defined results: null vectors and ids are left out; a null component is 0; vectors of different
@@ -49,8 +51,8 @@ def coded(rows: DataFrame, vector: str, bits: int, cuts: list[int], *names: str)
 
 
 def segment_cuts(codes: int, bits: int) -> list[int]:
-    """The edges of even segments of about log2(codes) bits, as multi-index hashing wants; at most 16 bits, so that their values can be enumerated."""
-    m = -(-bits // min(16, max(4, round(math.log2(max(codes, 2))))))
+    """The edges of even segments of somewhat less than log2(codes) bits, so that few values of a radius meet some codes each; at most 16 bits, so that they can be enumerated."""
+    m = -(-bits // min(16, max(4, round(math.log2(max(codes, 2))) - 2)))
     return [bits * s // m for s in range(m + 1)]
 
 
@@ -65,23 +67,24 @@ def search(vectors: DataFrame, queries: DataFrame, cfg: SearchConfig | None = No
     entries = C.checkpoint(coded(rows, "vector", bits, cuts, "id").transform(_distinct, cfg.k))
     asked = C.checkpoint(coded(asking, "vector", bits, cuts, "id").withColumnsRenamed({"id": "query_id", "code": "q"}))
     index = C.checkpoint(entries.select("code", "ids", F.posexplode("segments").alias("segment", "value")))
-    open_ = asked.select("q", "segments").distinct()
+    open_ = asked.select("q", "segments", F.lit(None).cast("int").alias("bound")).distinct()
+    apart = sum((F.bit_count(F.get("q", F.lit(i)).bitwiseXOR(F.get("code", F.lit(i)))) for i in range(-(-bits // WORD))), F.lit(0))
     best = None
     done: list[DataFrame] = []
     for r in range(1, max(width, 1) + 1):
         radii = (0, 1) if r == 1 else (r,)
-        probes = open_.mapInArrow(lambda batches, radii=radii: _probes(batches, radii, cuts), "q array<long>, segment int, value long")
-        met = probes.join(index, ["segment", "value"]).select("q", "code", "ids").dropDuplicates(["q", "code"])
-        apart = sum((F.bit_count(F.get("q", F.lit(i)).bitwiseXOR(F.get("code", F.lit(i)))) for i in range(-(-bits // WORD))), F.lit(0))
-        met = met.select("q", apart.alias("distance"), "code", "ids")
+        probes = open_.mapInArrow(lambda batches, radii=radii: _probes(batches, radii, cuts), "q array<long>, bound int, segment int, value long")
+        near = (probes["segment"] == index["segment"]) & (probes["value"] == index["value"]) & (apart <= F.coalesce("bound", F.lit(bits)))
+        met = probes.join(index, near).select("q", apart.alias("distance"), "code", "ids").dropDuplicates(["q", "code"])
         best = met if best is None else best.unionByName(met).dropDuplicates(["q", "code"])
         best = C.checkpoint(_nearest(best, cfg.k))
         # the k-th distance counts the ids of equal codes
         reach = best.groupBy("q").agg(F.sum(F.size("ids")).alias("n"), F.max("distance").alias("kth"))
-        covered = m * (r + 1) - 1
-        closed = reach.where((F.col("n") >= cfg.k) & (F.col("kth") <= covered)).select("q")
+        now = open_.select("q", "segments", F.least(F.lit(m * (r + 1) - 1), "bound").alias("covered")).join(reach, "q", "left")
+        now = C.checkpoint(now.select("q", "segments", F.when(F.col("n") >= cfg.k, F.col("kth")).alias("bound"), "covered"))
+        closed = now.where(F.col("bound") <= F.col("covered")).select("q")
         done.append(best.join(closed, "q"))
-        open_ = C.checkpoint(open_.join(closed, "q", "left_anti"))
+        open_ = now.where(F.coalesce(F.col("bound") > F.col("covered"), F.lit(True))).drop("covered")
         best = best.join(closed, "q", "left_anti")
         if open_.isEmpty():
             break
@@ -110,14 +113,16 @@ def _nearest(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _probes(batches: Iterator[pa.RecordBatch], radii: tuple[int, ...], cuts: list[int]) -> Iterator[pa.RecordBatch]:
-    """The segment values at the radii from each query's."""
+    """The segment values at the radii from each query's; of a query with a bound, in the segments that it needs."""
     sizes = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
     masks = {bits: np.array([sum(1 << b for b in c) for r in radii for c in combinations(range(bits), r)], np.int64) for bits in set(sizes)}
     for b in batches:
-        for i, segments in enumerate(b.column("segments").to_pylist()):
-            value = np.concatenate([masks[size] ^ own for size, own in zip(sizes, segments, strict=True)])
-            segment = np.repeat(np.arange(len(sizes), dtype=np.int32), [len(masks[size]) for size in sizes])
-            yield pa.RecordBatch.from_arrays([b.column("q").take(pa.array([i] * len(value))), pa.array(segment), pa.array(value)], names=["q", "segment", "value"])
+        for i, (segments, bound) in enumerate(zip(b.column("segments").to_pylist(), b.column("bound").to_pylist(), strict=True)):
+            n = len(sizes) if bound is None else min(len(sizes), bound - len(sizes) * radii[-1] + 1)
+            value = np.concatenate([masks[size] ^ own for size, own in zip(sizes[:n], segments[:n], strict=True)])
+            segment = np.repeat(np.arange(n, dtype=np.int32), [len(masks[size]) for size in sizes[:n]])
+            row = pa.array([i] * len(value))
+            yield pa.RecordBatch.from_arrays([b.column("q").take(row), b.column("bound").take(row), pa.array(segment), pa.array(value)], names=["q", "bound", "segment", "value"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

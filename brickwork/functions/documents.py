@@ -37,7 +37,7 @@ def arabic_segment(title: Column, furnishing: Column, completion: Column, compos
 
 
 def document(compose: bool = True) -> Column:
-    """The document of a row of property_features."""
+    """The document of a row of property_features. The sentences."""
     c = F.col
     whole = lambda x: F.format_number(x, 0)  # noqa: E731  half to even, with thousands separators
     plain = lambda x: F.regexp_replace(F.format_number(x, 0), ",", "")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brickwork.config import EngineConfig
 from brickwork.operators import aggregates, analysis, resolve, silver, vectors
+from brickwork.plans import gold
 from brickwork.sources import tables
 from brickwork.streaming.incremental import bronze_rows
 
@@ -68,17 +69,8 @@ def run_pipeline(spark: SparkSession, cfg: EngineConfig, raw_dir: str, embed: ve
                 stats["archived"] = store.archive([f[0] for f in files], cfg.archive)
         stats["rows"] = store.read("silver_listings").count()
     with stage(store, run_id, "gold") as stats:
-        current = store.read("silver_listings")
-        dim = store.write("locations", resolve.locations(current, store.read("locations")))
-        properties, listings, history = resolve.resolve(current, dim, store.read("properties"), store.read("listings"), cfg.match)
-        properties, listings = tables.checkpoint(properties), tables.checkpoint(listings)
-        history = tables.checkpoint(history)
-        price = aggregates.min_active_price(listings)
-        priced = properties.drop("current_price_egp").join(price.withColumnRenamed("property_id", "id"), "id", "left")
-        store.write("properties", aggregates.price_outliers(priced, q=cfg.outlier_q))
-        store.write("listings", listings)
-        store.append("price_history", history)
-        stats["properties"] = properties.count()
+        stats["properties"] = gold.resolved(store, cfg)
+        current, dim = store.read("silver_listings"), store.read("locations")
     with stage(store, run_id, "features") as stats:
         rows = aggregates.feature_store(store.read("properties"), store.read("listings"), dim)
         stats["rows"] = store.write("property_features", rows).count()

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brickwork.config import EngineConfig
 from brickwork.operators import silver
+from brickwork.plans import gold
 from brickwork.sources import tables
 
 
@@ -19,8 +20,11 @@ def hits(spark: SparkSession, folder: str, archive: str | None = None) -> DataFr
     return tables.parsed_hits(reader.load(folder).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("file_time")))
 
 
-def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, archive: str | None = None) -> StreamingQuery:
-    """Bronze append without repeats, then the silver upsert, for every file not seen before."""
+def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, archive: str | None = None, resolve: bool = False) -> StreamingQuery:
+    """Bronze append without repeats, then the silver upsert, for every file not seen before; with resolve also the matching.
+
+    A micro-batch that is tried again changes nothing: what is there is left out, and matching takes only advertisements that are no listings yet.
+    """
     store = tables.Store(spark, cfg.root)
 
     def batch(df: DataFrame, _: int) -> None:
@@ -29,6 +33,8 @@ def ingest(spark: SparkSession, folder: str, cfg: EngineConfig, run_id: str, arc
         store.append("bronze_listings", bronze_rows(df, existing, cfg.source, run_id))
         merged, _reasons = silver.build(store.read("silver_listings"), df, cfg.limits, cfg.url_template)
         store.write("silver_listings", merged)
+        if resolve:
+            gold.resolved(store, cfg)
         df.unpersist()
 
     return hits(spark, folder, archive).writeStream.foreachBatch(batch).option("checkpointLocation", f"{cfg.root}/_stream").trigger(availableNow=True).start()

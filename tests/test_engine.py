@@ -162,6 +162,23 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert [r["title"] for r in store.read("silver_listings").collect()] == ["a"]
 
 
+def test_stream_resolves_against_what_is_stored(spark, tmp_path):
+    """Advertisements of later micro-batches join the properties of earlier ones, and conflict with the signals that those gathered."""
+    from brickwork.streaming import incremental
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    cfg = EngineConfig(root=f"file://{tmp_path}/tables")
+    store = tables.Store(spark, cfg.root)
+    for n, titles in enumerate((["شقة B6", "شقة B7"], ["شقة B6 للبيع"], ["شقة B6 للبيع"])):
+        hits = [HIT | {"externalID": f"{min(n, 1)}-{i}", "title": t, "_scraped_at": f"2024010{n + 1}T000000Z"} for i, t in enumerate(titles)]
+        (raw / f"{n}.jsonl").write_text("\n".join(json.dumps(h, ensure_ascii=False) for h in hits))
+        incremental.ingest(spark, str(raw), cfg, "r", resolve=True).awaitTermination()
+    listings = {r["external_id"]: r["property_id"] for r in store.read("listings").collect()}
+    assert listings["1-0"] == listings["0-0"] != listings["0-1"] and len(listings) == 3
+    assert store.read("properties").count() == 2 and store.read("price_history").count() == 3
+
+
 def test_contract(spark, tmp_path):
     (tmp_path / "x.csv").write_text("b,a\n1,2\n")
     assert tables.read_csv(spark, str(tmp_path / "x.csv"), "a bigint, b bigint").first() == (2, 1)

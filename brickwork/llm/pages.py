@@ -55,7 +55,7 @@ class StyleConfig:
 
 
 #: A quote opens a value only after "=", and only if the one that closes it ends the value; any other is a plain character, which ">" ends with the tag.
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*"[^"]*"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|[^>])*+)>|<[!?][^>]*>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>=]+|=\s*"[^"]*"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|=)*+)>|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg math".split())
@@ -203,7 +203,8 @@ def style_tree(pages: DataFrame, cfg: StyleConfig) -> DataFrame:
 
     each = C.bounded(pages).select("url", "html").mapInArrow(run, "host string, whole binary, features array<struct<path:long,kind:int,feature:long>>").dropDuplicates(["host", "whole"])
     rows = each.select("host", F.inline("features"))
-    counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    # written, so that pages are parsed once for all that follows
+    counted = C.written(rows.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).cast("double").alias("c")), "styles-counted")
     node = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 2, F.col("c"))).alias("m"),
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("texts"),

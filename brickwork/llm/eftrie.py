@@ -73,7 +73,7 @@ class Shards:
             return self.open[s][0]
         path = f"{self.path}/{self.name}-{s}"
         if self.mapped:
-            raw = np.memmap(path, np.uint8, "r")
+            raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
         else:
             with self.system.open_input_file(path) as f:
                 raw = np.frombuffer(f.read(), np.uint8)

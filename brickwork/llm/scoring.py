@@ -32,6 +32,8 @@ U = np.uint64
 END = U(0x1D8E4E27C47D124F)
 #: n-grams that a worker gathers before it passes them on.
 GATHERED = 1 << 20
+#: Bytes of text that are looked up at once: the more, the fewer times each shard is asked.
+SLICE = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,7 @@ class Tokens:
     def of(column: pa.Array, order: int) -> Iterator[Tokens]:
         """The tokens of a slice, or of the runs of one long text, which share the words of a context."""
         held, begins = None, True
-        for part in C.runs(column, order - 1):
+        for part in C.runs(column, order - 1, SLICE):
             if held is not None:
                 yield Tokens(held, begins, False, 0 if begins else order - 1)
                 begins = False
@@ -152,7 +154,7 @@ def _counted(docs: DataFrame, cfg: LanguageConfig, pairs: Callable[[Tokens], tup
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start()
         counter = _Counter()
-        for b in C.slices(batches, "text"):
+        for b in C.slices(batches, "text", SLICE):
             for tokens in Tokens.of(b.column("text"), cfg.order):
                 yield from counter.add(*pairs(tokens))
         yield from counter.out()
@@ -217,7 +219,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model.open()
         total, size, order = model.vocabulary.total, model.vocabulary.size, len(model.levels) + 1
-        for b in C.slices(batches, "text"):
+        for b in C.slices(batches, "text", SLICE):
             sums = np.zeros((b.num_rows, 4))
             for tokens in Tokens.of(b.column("text"), order):
                 levels = tokens.indices(model, values=True)

@@ -208,15 +208,16 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     made = C.written(signatures(docs, cfg), "signatures")
     full = made.where("n_shingles > 0")
     reps = C.written(full.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n_shingles").alias("size")), "representatives")
-    # what is known of each key is written before it is joined: a join of two tables can be split at a hot key, one with an aggregate can't
+    # what is known of each key is written before it is joined: a join of two tables can be split at a hot key, one with an aggregate can't;
+    # sort-merge joins at every size, so that what is shuffled grows as the input does
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     shared = C.written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
-    bucketed = C.written(keyed.join(shared, "key"), "buckets")
+    bucketed = C.written(keyed.join(shared.hint("merge"), "key"), "buckets")
     # an original shares more with its copies than they with each other: it has most neighbours, and leads
     near = bucketed.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("near"))
     ranked = C.written(bucketed.join(near, "rep").select("key", "rep", "near"), "ranked")
     leaders = C.written(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "leaders")
-    members = C.written(ranked.join(leaders, "key"), "members")
+    members = C.written(ranked.join(leaders.hint("merge"), "key"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]), "texts")
     sig = reps.select("rep", "sig")
@@ -264,7 +265,7 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of buckets with several components, with the bucket's size and its document of most neighbours."""
     several = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.max_by("rep", F.struct("near", -F.col("rep"))).alias("top")).where("low < high").select("key", "n", "top")
-    return rows.join(C.checkpoint(several), "key")
+    return rows.join(C.checkpoint(several).hint("merge"), "key")
 
 
 def _rare(active: DataFrame, texts: DataFrame, reps: DataFrame, cfg: MinHashConfig) -> tuple[DataFrame, DataFrame]:

@@ -228,7 +228,11 @@ class Level:
         shard = context[known] // self.width
         local = (context[known] - shard * self.width).astype(np.uint64)
         key = local * U(self.words + 1) + np.where(word[known] < 0, self.words, word[known]).astype(np.uint64)
-        order = np.lexsort((key, shard))
+        # contexts in order are shards in order, so that one number sorts by both where it fits
+        if self.contexts * (self.words + 1) < 2**64:
+            order = np.argsort(context[known].astype(np.uint64) * U(self.words + 1) + (key - local * U(self.words + 1)))
+        else:
+            order = np.lexsort((key, shard))
         known, shard, local, key = known[order], shard[order], local[order], key[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])

@@ -46,6 +46,8 @@ from brickwork.llm import common as C
 
 #: 64-bit words of a set's parity map.
 PARITY_WORDS = 16
+#: A list of so many ids is small enough to broadcast: some 32 MB.
+BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -217,8 +219,9 @@ def _linked(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
     ranked = C.written(bucketed.join(near, "rep").select("key", "rep", "near"), "ranked")
     leaders = C.written(ranked.groupBy("key").agg(F.max_by("rep", F.struct("near", -F.col("rep"))).alias("leader")), "leaders")
     members = C.written(ranked.join(leaders, "key"), "members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]), "texts")
+    # written first, so that texts of documents without a neighbour are dropped where they are read
+    wanted = C.written(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    texts = C.written(docs.select(row_id().alias("doc_id"), "text").join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]), "texts")
     sig = reps.select("rep", "sig")
     # round 1: one document of each bucket leads
     pairs = members.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()

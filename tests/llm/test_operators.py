@@ -658,6 +658,24 @@ def test_mixing_of_large_classes_and_clashing_names(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["__mix_"]["copies"] for r in got)
 
 
+def test_mix_leaves_texts_in_place(spark, tmp_path):
+    """The mix's rows are those of rated, and no row with a text is shuffled."""
+    rows = [(i if i % 9 else None, " ".join(["w", f"t{i % 190}", *["x"] * (i % 5)]), "ab"[i % 7 < 2], {"k": i}) for i in range(400)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows[:200], "doc_id long, text string, source string, extra map<string,int>").write.parquet(path)
+    docs, cfg = spark.read.parquet(path), mixing.MixConfig(block=20)
+    mixed = mixing.mix(docs, cfg)
+    want = Counter()
+    for r in mixing.rated(docs, cfg).collect():
+        want[r["doc_id"], r["text"], r["source"], r["extra"]["k"]] += r["__mix"]["copies"]
+    assert Counter((r["doc_id"], r["text"], r["source"], r["extra"]["k"]) for r in mixed.collect()) == +want
+    assert "Exchange hashpartitioning" not in mixed._jdf.queryExecution().executedPlan().toString()
+    same = spark.createDataFrame([(1, "a b", "s")] * 30 + [(None, "c d", "s")] * 30 + [(i, "e f g h", "t") for i in range(20)], "doc_id long, text string, source string").repartition(4)
+    count = lambda x: Counter((r["doc_id"], r["text"]) for r in x)
+    rated = [r for r in mixing.rated(same, cfg).collect() for _ in range(r["__mix"]["copies"])]
+    assert count(mixing.mix(same, cfg).collect()) == count(rated)
+
+
 def _slow_copies(rows, weights=(5.0, 2.0, 1.0)):
     """Of each source its target, from the weights and three times its size."""
     sizes = defaultdict(int)

@@ -1,11 +1,14 @@
 """Best-fit packing of token pieces into sequences by a grouping genetic algorithm.
 
 Chromosomes are lists of bins. Crossover injects the well-filled bins of one parent whole into the
-other, dissolves the other's bins that share a document with them, and best-fits what is displaced.
+other, dissolves the other's bins that share a document with them and a few more. One or two of the
+displaced pieces take the place of up to two in a bin where that fills it better, as long as there are
+any; the rest is best-fitted.
 Pieces are dealt into blocks of bounded size; every block evolves on several islands, which pass
 their best packing on to the next island between the rounds.
 
-Where plain best fit already meets the least number of sequences that the tokens need, no generation runs.
+Where plain best fit already meets the least number of sequences that the pieces need (Martello and Toth's
+L2), it can't be bettered, and no generation runs; nor do further ones once a packing meets it.
 
 Defined results: an empty or null text is one piece of the closing id alone; an empty table gives
 no rows; repeated rows and rows without doc_id are packed each; further columns are ignored; long texts
@@ -39,8 +42,8 @@ class PackConfig:
     block: int = 4096
     islands: int = 2
     rounds: int = 2
-    population: int = 4
-    generations: int = 3
+    population: int = 16
+    generations: int = 40
     seed: int = 7
 
     def path(self) -> str:
@@ -144,26 +147,85 @@ def crossover(a: Packing, b: Packing, rng: np.random.Generator) -> Packing:
     displaced: list[int] = []
     loose = a.capacity // 50
     for items, free in zip(b.bins, b.free, strict=True):
-        if used[items].any() or free > loose:  # shares a document, or is a badly filled bin
+        # shares a document, is a badly filled bin, or mutates
+        if used[items].any() or free > loose or rng.random() < 0.02:
             displaced += [i for i in items if not used[i]]
         else:
             child.bins.append(items[:])
             child.free.append(free)
+    displaced = replaced(child, displaced)
     displaced.sort(key=lambda i: -a.sizes[i])
     child.fit(displaced)
     return child
 
 
+def replaced(child: Packing, out: list[int]) -> list[int]:
+    """What lies outside of child's bins after up to two items of each have been replaced by one or two of `out` that fill it better."""
+    sizes = child.sizes
+    out = sorted(out, key=lambda i: sizes[i])
+    d = np.array([sizes[i] for i in out], np.int64)
+    for k, items in enumerate(child.bins):
+        free = child.free[k]
+        if not free or len(d) < 2:
+            continue
+        best, swap = 0, None
+        own = [(i,) for i in items] + [(i, j) for n, i in enumerate(items[:MOST_PAIRED]) for j in items[:n]]
+        for leave in own:
+            room = free + sum(sizes[i] for i in leave)
+            one = int(np.searchsorted(d, room, "right")) - 1
+            if one >= 0 and (gain := int(d[one]) - room + free) > best:
+                best, swap = gain, (leave, (one,))
+            if len(leave) == 2 and best < free:
+                with_ = np.searchsorted(d, room - d, "right") - 1
+                with_ = np.minimum(with_, np.arange(len(d)) - 1)  # each pair once, the lesser second
+                sums = np.where(with_ >= 0, d + d[with_], 0)
+                sums[sums > room] = 0
+                two = int(np.argmax(sums))
+                if (gain := int(sums[two]) - room + free) > best:
+                    best, swap = gain, (leave, (two, int(with_[two])))
+            if best == free:
+                break
+        if swap:
+            leave, take = swap
+            child.bins[k] = [i for i in items if i not in leave] + [out[t] for t in take]
+            child.free[k] = free - best
+            left = [x for n, x in enumerate(out) if n not in take] + list(leave)
+            out = sorted(left, key=lambda i: sizes[i])
+            d = np.array([sizes[i] for i in out], np.int64)
+    return out
+
+
+#: Items of a bin whose pairs are tried for replacement.
+MOST_PAIRED = 12
+
+
+def least_bins(sizes: list[int], capacity: int) -> int:
+    """Martello and Toth's L2: no packing has fewer bins."""
+    n = np.bincount(np.array(sizes, np.int64), minlength=capacity + 1)
+    many, total = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * np.arange(capacity + 1))])
+    half = capacity // 2
+    least = np.arange(half + 1)
+    # those over capacity - least lie alone; those over half apart, in whose room the ones from least to half may lie
+    apart = many[-1] - many[half + 1]
+    room = capacity * (many[capacity - least + 1] - many[half + 1]) - (total[capacity - least + 1] - total[half + 1])
+    more = -((room - (total[half + 1] - total[least])) // capacity)
+    return max(int((apart + np.maximum(more, 0)).max()), -(-sum(sizes) // capacity))
+
+
 def evolve(sizes: list[int], elites: list[np.ndarray], cfg: PackConfig, seed: int) -> Packing:
     rng = np.random.default_rng(seed)
     population = [Packing.of(sizes, cfg.capacity, x) for x in elites]
-    exact = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    bound = least_bins(sizes, cfg.capacity)
+    if not population:
+        population.append(Packing(sizes, cfg.capacity))
+        population[0].fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]))
+    for p in population:
+        if len(p.bins) <= bound:
+            return p
     while len(population) < cfg.population:
         p = Packing(sizes, cfg.capacity)
-        keys = np.array(sizes) * (1 + 0.1 * rng.random(len(sizes))) if population else None
-        p.fit(np.argsort(-keys, kind="stable").tolist() if keys is not None else exact)
+        p.fit(np.argsort(-np.array(sizes) * (1 + 0.1 * rng.random(len(sizes))), kind="stable").tolist())
         population.append(p)
-    bound = -(-sum(sizes) // cfg.capacity)
     ranked = sorted(((p.fitness(), k, p) for k, p in enumerate(population)), key=lambda x: x[:2])
     serial = len(ranked)
     for _ in range(cfg.generations):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import itertools
 import math
 import random
 import re
@@ -246,6 +247,29 @@ def test_crossover_keeps_every_item():
     assert sorted(i for b in p.bins for i in b) == list(range(200)) and all(sum(sizes[i] for i in b) + f == 100 for b, f in zip(p.bins, p.free, strict=True))
 
 
+def test_evolution_betters_best_fit():
+    """Pieces of full sequences cut in three, which best fit packs into 45 and 439, and 3 generations of 4 without replacement into as many."""
+    r = random.Random(1)
+    for n, most in ((40, 42), (400, 416)):
+        sizes = []
+        for _ in range(n):
+            a = r.randint(778, 1003)
+            b = r.randint((2048 - a) // 2 - 102, (2048 - a) // 2 + 102)
+            sizes += [a, b, 2048 - a - b]
+        r.shuffle(sizes)
+        p = packing.evolve(sizes, [], packing.PackConfig(), 1)
+        assert n <= len(p.bins) <= most and sorted(i for b in p.bins for i in b) == list(range(3 * n)) and all(sum(sizes[i] for i in b) + f == 2048 and f >= 0 for b, f in zip(p.bins, p.free, strict=True))
+
+
+def test_least_bins_is_never_above_a_packing():
+    r = random.Random(0)
+    for _ in range(60):
+        sizes = [r.randint(1, 20) for _ in range(r.randint(1, 6))]
+        fewest = min(len({b for b in x}) for x in itertools.product(range(len(sizes)), repeat=len(sizes)) if all(sum(s for s, b in zip(sizes, x, strict=True) if b == k) <= 20 for k in set(x)))
+        assert -(-sum(sizes) // 20) <= packing.least_bins(sizes, 20) <= fewest
+    assert packing.least_bins([11] * 5 + [9] * 5 + [10], 20) == 6 and packing.least_bins([11] * 5, 20) == 5
+
+
 def test_elias_fano():
     r = np.random.default_rng(0)
     for universe, n in ((50, 50), (1000, 10), (10**12, 5000), (7, 1), (2**40, 3)):

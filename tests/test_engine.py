@@ -245,3 +245,77 @@ def test_search(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], "a"), (2, [1.0, 0.1], "a"), (3, [0.0, 1.0], "b"), (4, [0.0, 0.0], "c")], "vec_id bigint, embedding array<float>, k string")
     assert [r["vec_id"] for r in vectors.top_k(df, [1.0, 0.0], 3).collect()] == [1, 2, 3]
     assert [r["vec_id"] for r in vectors.top_k(df, [1.0, 0.0], 2, by="k").collect()] == [1, 3]
+
+
+def _noisy(n, types=2):
+    import random
+
+    from brickwork.schemas import TRAINING
+
+    r = random.Random(3)
+    out = []
+    for i in range(n):
+        area, m2, kind = r.uniform(60, 400), r.uniform(9000, 11000), r.randrange(types)
+        out.append((i, area * m2 * (kind + 1) * (2 if area > 200 else 1), m2, "", 1, f"t{kind}", r.choice("xyz"), r.choice(["a", None]), float(r.randint(0, 5)), 1.0, area, r.randint(1, 19), m2, False))
+    return out, TRAINING
+
+
+def test_whole_choice_of_models_ends(spark, monkeypatch):
+    """All 300 trees of depth 30 and 500 rounds in five folds; with Spark's trees this hadn't ended after 240 s on 4,454 rows."""
+    from brickwork.config import ModelConfig
+
+    made = []
+    monkeypatch.setattr(model, "_regressor", lambda kind, *a, f=model._regressor: made.append(kind) or f(kind, *a))
+    fitted = model.train(spark.createDataFrame(*_noisy(1300)), ModelConfig())
+    assert set(made) == {"ridge"} and set(fitted.metrics["cv_r2"]) == set(ModelConfig().models)
+    assert fitted.kind in ("forest", "hist", "boosted") and fitted.metrics["holdout"]["r2"] > 0.95
+
+
+@pytest.mark.parametrize("kind", ["forest", "hist", "boosted"])
+def test_worker_trees_are_saved_and_predict_like_their_trees(spark, tmp_path, monkeypatch, kind):
+    import numpy as np
+
+    from brickwork.config import ModelConfig
+    from brickwork.operators import trees
+
+    monkeypatch.setattr(trees, "BLOCK", 40)
+    rows, ddl = _noisy(400)
+    fitted = model.train(spark.createDataFrame(rows, ddl), ModelConfig(models=(kind,), min_rows=100, trees=25, rounds=30))
+    assert fitted.kind == kind and sum(fitted.pipeline.featureImportances) == pytest.approx(1)
+    grown = [t for r in fitted.pipeline.trees.collect() for t in trees.unpacked(r.asDict())]
+    assert len(grown) == (25 if kind == "forest" else 30)
+    ask = spark.createDataFrame(rows, ddl).select("property_id", "property_type", "city", "neighbourhood", "rooms", "baths", "area_m2")
+    once = {r["property_id"]: r["predicted_price_egp"] for r in fitted.predict(ask).collect()}
+    assert len(once) == 400 and np.mean([abs(once[r[0]] / r[1] - 1) for r in rows]) < 0.35
+    fitted.save(str(tmp_path / "m"))
+    again = {r["property_id"]: r["predicted_price_egp"] for r in model.PriceModel.load(spark, str(tmp_path / "m")).predict(ask).collect()}
+    assert again == pytest.approx(once)
+
+
+def test_worker_trees_find_the_best_split():
+    """The first split of either kind against all splits tried one by one; leaves hold their rows' mean."""
+    import numpy as np
+
+    from brickwork.operators import trees
+
+    rng = np.random.default_rng(5)
+    raw = np.column_stack([rng.random(300), rng.integers(0, 4, 300), np.full(300, 2.0), rng.normal(size=300).round(1)])
+    y = np.where(raw[:, 3] > 0.25, 1.0, -1.0) + 0.3 * raw[:, 1] + rng.normal(size=300) * 0.1
+    y -= y.mean()
+    cuts = [trees.edges(raw[:, k]) for k in range(4)]
+    x = trees.binned(raw, cuts)
+    spec = trees.Spec("hist", 1, 3, 20, 1.0, 0)
+    tree = trees.shallow(x, y, spec, np.zeros(4))
+    best = max((y[m].sum() ** 2 / m.sum() + y[~m].sum() ** 2 / (~m).sum(), f, c) for f in range(4) for c in range(255) if (m := x[f] <= c).sum() >= 20 and (~m).sum() >= 20)
+    root = tree.parts["feature"][0], tree.parts["cut"][0]
+    mask = x[root[0]] <= root[1]
+    assert y[mask].sum() ** 2 / mask.sum() + y[~mask].sum() ** 2 / (~mask).sum() == pytest.approx(best[0])
+    p = tree.predict(x)
+    for v in np.unique(p):
+        assert y[p == v].mean() == pytest.approx(v, abs=1e-5) and (p == v).sum() >= 20
+    full = trees.deep(np.repeat(x[[0]], 3, 0), y, trees.Spec("forest", 1, 30, 1, 1.0, 0), np.random.default_rng((0, 0)), np.zeros(3))
+    drawn = np.bincount(np.random.default_rng((0, 0)).integers(0, 300, 300), minlength=300)
+    got = full.predict(np.repeat(x[[0]], 3, 0))
+    for b in np.unique(x[0][drawn > 0]):
+        here = (x[0] == b) & (drawn > 0)
+        assert got[here] == pytest.approx(np.full(here.sum(), np.average(y[here], weights=drawn[here])), abs=1e-5)

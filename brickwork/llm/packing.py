@@ -18,7 +18,7 @@ are encoded in parts that end between words, where the encoding splits anyway.
 from __future__ import annotations
 
 import zlib
-from bisect import insort
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -139,17 +139,17 @@ def crossover(a: Packing, b: Packing, rng: np.random.Generator) -> Packing:
     order = np.argsort(np.array(a.free) + rng.random(len(a.free)), kind="stable")
     taken = order[: max(1, int(len(order) * rng.uniform(0.3, 0.8)))].tolist()
     child = Packing(a.sizes, a.capacity)
-    used = np.zeros(len(a.sizes), bool)
+    used: set[int] = set()
     for k in taken:
         child.bins.append(a.bins[k][:])
         child.free.append(a.free[k])
-        used[a.bins[k]] = True
+        used.update(a.bins[k])
     displaced: list[int] = []
     loose = a.capacity // 50
     for items, free in zip(b.bins, b.free, strict=True):
         # shares a document, is a badly filled bin, or mutates
-        if used[items].any() or free > loose or rng.random() < 0.02:
-            displaced += [i for i in items if not used[i]]
+        if not used.isdisjoint(items) or free > loose or rng.random() < 0.02:
+            displaced += [i for i in items if i not in used]
         else:
             child.bins.append(items[:])
             child.free.append(free)
@@ -163,7 +163,8 @@ def replaced(child: Packing, out: list[int]) -> list[int]:
     """What lies outside of child's bins after up to two items of each have been replaced by one or two of `out` that fill it better."""
     sizes = child.sizes
     out = sorted(out, key=lambda i: sizes[i])
-    d = np.array([sizes[i] for i in out], np.int64)
+    ds = [sizes[i] for i in out]
+    d = np.array(ds, np.int64)
     for k, items in enumerate(child.bins):
         free = child.free[k]
         if not free or len(d) < 2:
@@ -172,12 +173,12 @@ def replaced(child: Packing, out: list[int]) -> list[int]:
         own = [(i,) for i in items] + [(i, j) for n, i in enumerate(items[:MOST_PAIRED]) for j in items[:n]]
         for leave in own:
             room = free + sum(sizes[i] for i in leave)
-            one = int(np.searchsorted(d, room, "right")) - 1
-            if one >= 0 and (gain := int(d[one]) - room + free) > best:
+            one = bisect_right(ds, room) - 1
+            if one >= 0 and (gain := ds[one] - room + free) > best:
                 best, swap = gain, (leave, (one,))
             if len(leave) == 2 and best < free:
                 with_ = np.searchsorted(d, room - d, "right") - 1
-                with_ = np.minimum(with_, np.arange(len(d)) - 1)  # each pair once, the lesser second
+                np.minimum(with_, np.arange(-1, len(d) - 1), out=with_)  # each pair once, the lesser second
                 sums = np.where(with_ >= 0, d + d[with_], 0)
                 sums[sums > room] = 0
                 two = int(np.argmax(sums))
@@ -189,9 +190,13 @@ def replaced(child: Packing, out: list[int]) -> list[int]:
             leave, take = swap
             child.bins[k] = [i for i in items if i not in leave] + [out[t] for t in take]
             child.free[k] = free - best
-            left = [x for n, x in enumerate(out) if n not in take] + list(leave)
-            out = sorted(left, key=lambda i: sizes[i])
-            d = np.array([sizes[i] for i in out], np.int64)
+            for t in sorted(take, reverse=True):
+                del out[t], ds[t]
+            for i in leave:
+                to = bisect_right(ds, sizes[i])
+                out.insert(to, i)
+                ds.insert(to, sizes[i])
+            d = np.array(ds, np.int64)
     return out
 
 

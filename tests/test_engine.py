@@ -319,3 +319,110 @@ def test_worker_trees_find_the_best_split():
     for b in np.unique(x[0][drawn > 0]):
         here = (x[0] == b) & (drawn > 0)
         assert got[here] == pytest.approx(np.full(here.sum(), np.average(y[here], weights=drawn[here])), abs=1e-5)
+
+
+def _grown(spark, x, kind, y, held, task):
+    """What Grower.java returns for arrays: x has a row of bytes per row."""
+    import numpy as np
+
+    from brickwork.operators import trees
+
+    args = [np.array(task, np.float64), np.ascontiguousarray(x.T), kind.astype(np.int16), y.astype(np.float64), held.astype(np.int16)]
+    row = spark.createDataFrame([tuple(bytearray(a.tobytes()) for a in args)], "t binary, x binary, k binary, y binary, h binary")
+    got = row.select(trees._grower(spark)("t", "x", "k", "y", "h").alias("r")).first()["r"]
+    named = {n: bytes(v) for n, v in zip(trees.GROWN, got, strict=True)}
+    return named, list(trees.unpacked(named))
+
+
+def _typed(n, types):
+    """Binned dense features, a type that may be none, all columns as they are numbered, and a target."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    dense = np.stack([rng.integers(0, w, n) for w in (256, 3, 50, 1, 90, 2, 7, 20, 256, 100)]).astype(np.uint8)
+    kind = rng.integers(0, types + 1, n)
+    columns = np.concatenate([dense[:8], (kind[None] == np.arange(types)[:, None]).astype(np.uint8), dense[8:]])
+    y = dense[0] / 64 + (dense[8] > 200) * 2 + (kind == 1) * 3 - (kind == types) + rng.normal(size=n) * 0.3
+    return dense, kind, columns, y
+
+
+def test_booster_of_the_jvm_is_the_plain_one(spark):
+    import numpy as np
+
+    from brickwork.operators import trees
+
+    dense, kind, columns, y = _typed(3000, 5)
+    spec = trees.Spec("boosted", 12, 6, 20, 0.3, 0)
+    held = np.arange(3000) % 5
+    named, grown = _grown(spark, dense, kind, y, held, [0, 0, spec.trees, spec.depth, spec.least, spec.rate, 0, 2, 1, 5, 8, 5])
+    mine, out = columns[:, held != 2], columns[:, held == 2]
+    left, gains, sums = y[held != 2] - y[held != 2].mean(), np.zeros(len(columns)), np.zeros(out.shape[1])
+    for tree in grown:
+        plain = trees.shallow(mine, left, spec, gains)
+        assert len(plain.parts["left"]) == len(tree.parts["left"])
+        assert tree.predict(out) == pytest.approx(plain.predict(out), abs=1e-5)
+        left -= spec.rate * plain.predict(mine)
+        sums += plain.predict(out)
+    assert len(grown) == 12 and np.frombuffer(named["sums"]) == pytest.approx(sums, abs=1e-4) and np.frombuffer(named["gains"]) == pytest.approx(gains, rel=1e-6)
+
+
+def test_forest_of_the_jvm_is_a_forest(spark):
+    """Leaves have two rows at least, the sums are those of the trees, and what it learns is what plain trees learn."""
+    import numpy as np
+
+    from brickwork.operators import trees
+
+    dense, kind, columns, y = _typed(3000, 5)
+    held = np.arange(3000) % 5
+    task = [1, 0, 20, 30, 2, 1.0, 42, 2, 1, 5, 8, 5]
+    named, grown = _grown(spark, dense, kind, y, held, task)
+    again, other = _grown(spark, dense, kind, y, held, task)[0], _grown(spark, dense, kind, y, held, [*task[:6], 43, *task[7:]])[0]
+    assert again == named and other["sums"] != named["sums"]
+    mine, out, r2 = columns[:, held != 2], columns[:, held == 2], {}
+    mean = y[held != 2].mean()
+    assert np.frombuffer(named["sums"]) == pytest.approx(sum(t.predict(out).astype(float) for t in grown), abs=1e-6)
+    plain = [trees.deep(mine, y[held != 2] - mean, trees.Spec("forest", 20, 30, 2, 1.0, 42), np.random.default_rng((42, t)), np.zeros(len(columns))) for t in range(20)]
+    for name, forest in (("jvm", grown), ("plain", plain)):
+        off = y[held == 2] - mean - sum(t.predict(out) for t in forest) / 20
+        r2[name] = 1 - (off**2).sum() / ((y[held == 2] - y[held == 2].mean()) ** 2).sum()
+    assert r2["plain"] > 0.9 and r2["jvm"] == pytest.approx(r2["plain"], abs=0.02)
+    sizes = [np.mean([(t.parts["left"] == 0).sum() for t in forest]) for forest in (grown, plain)]
+    assert sizes[0] == pytest.approx(sizes[1], rel=0.03)
+    whole, one = _grown(spark, dense, kind, y, held, [1, 0, 1, 1, 2, 1.0, 42, -1, 1, 5, 8, 15])
+    best = max(((y[m].mean() - y[~m].mean()) ** 2 * m.mean() * (1 - m.mean()), f) for f in range(15) for c in range(255) if 20 < (m := columns[f] <= c).sum() < 2980)
+    assert len(one) == 1 and one[0].parts["feature"][0] == best[1] and not len(np.frombuffer(whole["sums"]))
+
+
+def test_forest_over_many_types_ends(spark):
+    """60 trees of 40,000 rows with 150 types, five folds."""
+    import time
+
+    from brickwork.config import ModelConfig
+    from brickwork.operators import trees
+    from brickwork.sources.tables import checkpoint
+    from pyspark.ml import Pipeline
+
+    rows = spark.range(40_000).selectExpr(*[f"pmod(hash(id, {k}), {w}) / 1.0 AS {c}" for k, (c, w) in enumerate(zip(model.NUMERIC, (6, 3, 50, 300, 20, 7, 5000, 2), strict=True))], "concat('t', pmod(hash(id, 8), 150)) AS property_type", "pmod(hash(id, 9), 25) / 9.0 AS te_city", "pmod(hash(id, 10), 4000) / 9.0 AS te_neighbourhood", "pmod(hash(id, 11), 5) AS __fold", "pmod(hash(id, 12), 10) < 2 AS __test", "rand(1) AS noise")
+    rows = checkpoint(rows.withColumn("log_price", F.col("area_m2") / 10 + F.col("te_city") + F.col("noise")))
+    data = trees.Data(Pipeline(stages=model._prep()).fit(rows), rows, ModelConfig(trees=60))
+    began = time.monotonic()
+    got = data.scores(["forest"], [0, 1, 2, 3, 4])
+    took = time.monotonic() - began
+    assert took < 30 and len(got) == 5, took
+    assert min(m["r2"] for m in got.values()) > 0.7, got
+
+
+def test_trees_predict_what_they_were_trained_to_at_the_cuts(spark):
+    """Values that are cuts themselves, and are no float32: training and prediction once put them in different bins."""
+    from brickwork.config import ModelConfig
+    from brickwork.operators import trees
+    from brickwork.sources.tables import checkpoint
+    from pyspark.ml import Pipeline
+
+    zero = [f"0.0 AS {c}" for c in model.NUMERIC if c != "area_m2"]
+    rows = checkpoint(spark.range(3000).selectExpr(*zero, "pmod(id, 600) / 7.0D AS area_m2", "'t' AS property_type", "0.0 AS te_city", "0.0 AS te_neighbourhood", "0 AS __fold", "id % 5 = 0 AS __test", "log1p(pmod(id, 600)) AS log_price", "id"))
+    data = trees.Data(Pipeline(stages=model._prep()).fit(rows), rows, ModelConfig(rounds=40, rate=0.5))
+    fitted = data.fit("boosted")
+    fitted = fitted[0] if isinstance(fitted, tuple) else fitted
+    got = fitted.transform(rows).agg(F.max(F.abs(F.col("prediction") - F.col("log_price")))).first()[0]
+    assert got < 0.8
